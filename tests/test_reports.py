@@ -1,0 +1,267 @@
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from report_fixture import relations, rows
+
+from mesada import (
+    PROFILES,
+    disbursement_detail,
+    disbursement_totals,
+    report_calendar,
+    transfer_detail,
+    transfer_totals,
+)
+from mesada.plans.reports import DISBURSEMENT_COLUMNS, TRANSFER_COLUMNS
+
+AS_OF = dt.date(2024, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return relations(spark, rows())
+
+
+def cal(spark, holidays, *dates, profile="v1"):
+    rule = PROFILES[profile].holiday_rule
+    return report_calendar(spark, dates or [AS_OF], holidays, rule)
+
+
+@pytest.mark.parametrize(
+    "profile, expected", [("v1", {101}), ("v2", {102}), ("draft", {101})]
+)
+def test_disbursement_detail_rows(spark, holidays, t, profile, expected):
+    got = disbursement_detail(t, cal(spark, holidays, profile=profile), profile).collect()
+    assert {r["OP"] for r in got} == expected
+
+
+@pytest.mark.parametrize(
+    "profile, expected", [("v1", {101, 105}), ("v2", {102, 103}), ("draft", {101, 105})]
+)
+def test_transfer_detail_rows(spark, holidays, t, profile, expected):
+    got = transfer_detail(t, cal(spark, holidays, profile=profile), profile).collect()
+    assert {r["SOLICITUD"] for r in got} == expected
+
+
+def test_disbursement_detail_values(spark, holidays, t):
+    df = disbursement_detail(t, cal(spark, holidays), "v1", with_as_of=False)
+    assert tuple(df.columns) == DISBURSEMENT_COLUMNS
+    (r,) = df.collect()
+    assert tuple(r) == (
+        101, "02/01/2024", "NC101", "NOMBRE 101", "CC", "900101", "2048", D("0.185000"),
+        "$50000000", "$29000000", "$0", "$1234567,50", "$250000", "$100.5", "$7", "$0",
+        D(0), D(0), "$.5", "$0", "$30000000", 15, "MF", "LF", "2024", "F-SOR", "PLA101",
+        "CHA101", "MOT899", "Financiado", "Mensual", "240102.0900",
+    )
+
+
+def test_draft_formats(spark, holidays, t):
+    c = cal(spark, holidays, profile="draft")
+    (r,) = disbursement_detail(t, c, "draft").collect()
+    assert r["MANTENIMIENTO_PREPAGADO"] == "$1,234,568"
+    assert r["PLAZOMESES"] == "2048"
+    got = {x["SOLICITUD"]: x["VLRGIRAR"] for x in transfer_detail(t, c, "draft").collect()}
+    assert got == {101: "$30,250,000", 105: "$750,000"}
+
+
+def test_transfer_detail_values(spark, holidays, t):
+    df = transfer_detail(t, cal(spark, holidays), "v1", with_as_of=False)
+    assert tuple(df.columns) == TRANSFER_COLUMNS
+    got = {r["SOLICITUD"]: tuple(r) for r in df.collect()}
+    assert got[101] == (
+        101, "RAZON 101", "800101", "BANCO UNO", "CTA101", "AHORROS", "$30250000,00", "GIRO ACH",
+        "ACCESORIOS", "240102.0900",
+    )
+    v2 = transfer_detail(t, cal(spark, holidays, profile="v2"), "v2").collect()
+    prepaid = next(r for r in v2 if r["SOLICITUD"] == 103)
+    assert prepaid["VLRGIRAR"] == "$1200000,00"
+    assert prepaid["OBSERVACIONES"] == "MANTENIMIENTO PREPAGADO"
+
+
+@pytest.mark.parametrize("profile, value", [("v1", "$31200000"), ("v2", "$47100000.5")])
+def test_transfer_totals(spark, holidays, t, profile, value):
+    df = transfer_totals(t, cal(spark, holidays, profile=profile), profile, with_as_of=False)
+    (r,) = df.collect()
+    assert df.columns == ["c01", "c02", "c03", "c04", "c05", "c06", "VLRGIRAR"]
+    assert tuple(r) == ("TOTAL", None, None, None, None, None, value)
+
+
+def test_disbursement_totals_lag_and_empty_row(spark, holidays, t):
+    c = cal(spark, holidays, AS_OF, dt.date(2024, 2, 18), dt.date(2024, 2, 2))
+    df = disbursement_totals(t, c, "v1")
+    assert len(df.columns) == 32
+    got = {r["as_of"]: r for r in df.collect()}
+    filled = got[dt.date(2024, 2, 18)]
+    assert filled["TOTALDESEMBOLSO"] == "$30000000"
+    assert filled["MANTENIMIENTO_PREPAGADO"] == "1234567,50"
+    for day in (1, 2):
+        r = got[dt.date(2024, 2, day)]
+        assert (r["c01"], r["c02"], r["VLRFINANCIARVEHICULO"], r["VLRSUBVENCION"]) == (
+            "Totales", None, "$0", "$0",
+        )
+        assert (r["MANTENIMIENTO_PREPAGADO"], r["BONO_POLIZA"], r["TOTALDESEMBOLSO"]) == (
+            "0,00", "$0,00", "$",
+        )
+    (v2,) = disbursement_totals(t, cal(spark, holidays, profile="v2"), "v2").collect()
+    assert v2["TOTALDESEMBOLSO"] == "$45000000.5"
+
+
+def test_position_of_totals_columns(spark, holidays, t):
+    df = disbursement_totals(t, cal(spark, holidays), "v1", with_as_of=False)
+    named = {i: n for i, n in enumerate(df.columns, 1) if not n.startswith("c")}
+    assert named == {
+        10: "VLRFINANCIARVEHICULO", 11: "VLRSUBVENCION", 12: "MANTENIMIENTO_PREPAGADO",
+        13: "VLRACCESORIOS", 17: "BONO_POLIZA", 20: "TOTALDESEMBOLSO",
+    }
+
+
+def test_closed_gate_has_no_rows(spark, holidays, t):
+    c = cal(spark, holidays, dt.date(2024, 2, 2))
+    assert disbursement_detail(t, c, "v1").count() == 0
+    assert transfer_detail(t, c, "v2").count() == 0
+
+
+def test_missing_insurance(spark, holidays):
+    t = relations(spark, rows(missing_insurance={101}))
+    assert disbursement_detail(t, cal(spark, holidays), "v1").count() == 0
+    assert {r["SOLICITUD"] for r in transfer_detail(t, cal(spark, holidays), "v1").collect()} == {
+        101, 105,
+    }
+    lag = cal(spark, holidays, dt.date(2024, 2, 18))
+    (v1,) = disbursement_totals(t, lag, "v1").collect()
+    assert (v1["TOTALDESEMBOLSO"], v1["MANTENIMIENTO_PREPAGADO"]) == ("$30000000", "0,00")
+    t = relations(spark, rows(missing_insurance={102}))
+    (v2,) = disbursement_totals(t, cal(spark, holidays), "v2").collect()
+    assert v2["TOTALDESEMBOLSO"] == "$"
+
+
+def test_equal_rows_collapse_in_detail_and_count_in_totals(spark, holidays):
+    again = (101, "2024-01-02 08:50", 1, 1, "30000000")
+    t = relations(spark, rows(extra_sendings=[again], duplicate_lines=[101]))
+    assert disbursement_detail(t, cal(spark, holidays), "v1").count() == 1
+    assert transfer_detail(t, cal(spark, holidays), "v1").count() == 2
+    lag = cal(spark, holidays, dt.date(2024, 2, 18))
+    (r,) = disbursement_totals(t, lag, "v1").collect()
+    # Two disbursement rows times two sendings.
+    assert r["TOTALDESEMBOLSO"] == "$120000000"
+    assert r["VLRACCESORIOS"] == "$1000000"
+    assert r["MANTENIMIENTO_PREPAGADO"] == "4938270,00"
+    (g,) = transfer_totals(t, cal(spark, holidays), "v1").collect()
+    assert g["VLRGIRAR"] == "$121200000"
+
+
+def test_detail_type_comes_from_the_line_and_totals_type_from_the_sending(spark, holidays):
+    # Request 101: line of type 1, sending of type 2. Request 105: the reverse.
+    lines = [
+        (101, "NC101", "CC", "900101", D(10), 1),
+        (105, "NC105", "CC", "900105", D(20), 2),
+    ]
+    sendings = [
+        (101, "2024-01-02 08:15", 2, 1, "10"),
+        (105, "2024-01-02 08:15", 1, 1, "20"),
+    ]
+    data = rows(lines=lines, extra_sendings=sendings)
+    data["desembolsorelacion"] = data["desembolsorelacion"][-2:]
+    t = relations(spark, data)
+    got = disbursement_detail(t, cal(spark, holidays), "v1").collect()
+    assert [r["OP"] for r in got] == [101]
+    (r,) = disbursement_totals(t, cal(spark, holidays, dt.date(2024, 2, 18)), "v1").collect()
+    assert r["TOTALDESEMBOLSO"] == "$20"
+
+
+def test_order_puts_missing_motor_last(spark, holidays):
+    more = [(n, "2024-01-02 09:00", 1, 1, "5") for n in (201, 202, 203)]
+    t = relations(spark, rows(extra_sendings=more, no_motor={202}))
+    got = disbursement_detail(t, cal(spark, holidays), "v1").collect()
+    assert [r["MOTOR"] for r in got] == ["MOT797", "MOT799", "MOT899", None]
+
+
+def test_many_dates_equal_single_dates(spark, holidays):
+    more = [(301, "2024-02-01 08:00", 1, 1, "9"), (302, "2024-02-09 15:00", 6, 1, "8")]
+    t = relations(spark, rows(extra_sendings=more))
+    dates = [dt.date(2024, 1, 2) + dt.timedelta(days=i) for i in range(62)]
+    reports = (
+        lambda c, p: disbursement_detail(t, c, p, ordered=False),
+        lambda c, p: transfer_detail(t, c, p, ordered=False),
+        lambda c, p: disbursement_totals(t, c, p),
+        lambda c, p: transfer_totals(t, c, p),
+    )
+    for profile in ("v1", "v2"):
+        for report in reports:
+            many = report(cal(spark, holidays, *dates, profile=profile), profile).collect()
+            for d in (dt.date(2024, 1, 2), AS_OF, dt.date(2024, 2, 18), dt.date(2024, 3, 1)):
+                one = report(cal(spark, holidays, d, profile=profile), profile).collect()
+                assert sorted(map(str, one)) == sorted(str(r) for r in many if r["as_of"] == d)
+
+
+def test_dates_as_dataframe(spark, holidays, t):
+    dates = spark.sql("select date'2024-01-20' + id as as_of from range(30)".replace(
+        "+ id", "+ cast(id as int)"))
+    c = report_calendar(spark, dates, holidays)
+    assert {r["OP"] for r in disbursement_detail(t, c, "v1").collect()} == {101}
+
+
+PLAN = {
+    101: (1, ("81X", "82Y", "83Z", D(10), D(5), D(1))),
+    105: (1, ("81X", None, "83Z", D(10), None, D(1))),
+}
+
+
+def test_fixed_account_text_needs_type_one_and_no_child(spark, holidays):
+    t = relations(spark, rows(plan=PLAN))
+    got = {r["SOLICITUD"]: r for r in transfer_detail(t, cal(spark, holidays), "v1").collect()}
+    assert got[101]["NUMEROCUENTA"] == "81X - $10,00 // 82Y - $5,00 // 83Z - $1,00"
+    assert got[105]["NUMEROCUENTA"] == "CTA105"
+    # '' reads as NULL
+    assert got[101]["TIPOCUENTA"] is None
+    # no child, so no prefix to test
+    assert got[101]["CANAL GIRO"] == "GIRO ACH"
+
+
+def test_ranked_account_text_and_channel(spark, holidays):
+    children = [
+        (7, 101, "98B", D(50)),
+        (3, 101, "81A", D(-100)),
+        (9, 101, "75C", D(10)),
+        (1, 105, "75Q", None),
+    ]
+    t = relations(spark, rows(plan=PLAN, children=children))
+    got = {r["SOLICITUD"]: r for r in transfer_detail(t, cal(spark, holidays), "v1").collect()}
+    assert got[101]["NUMEROCUENTA"] == "81A - $100,00 // 98B - $50,00//75C - $10,00"
+    assert got[101]["CANAL GIRO"] == "PAGO ALTAIR"
+    assert got[105]["NUMEROCUENTA"] == "75Q - $0,00  "
+    c = cal(spark, holidays, profile="draft")
+    draft = {r["SOLICITUD"]: r for r in transfer_detail(t, c, "draft").collect()}
+    assert draft[101]["NUMEROCUENTA"] == "81A - $100 // 98B - $50//75C - $10"
+
+
+def test_prepaid_maintenance_is_ach_in_v2_only(spark, holidays):
+    from dataclasses import replace
+
+    children = [(1, 103, "98B", D(50))]
+    t = relations(spark, rows(plan={103: PLAN[101]}, children=children))
+    c = cal(spark, holidays)
+    got = {r["SOLICITUD"]: r for r in transfer_detail(t, c, "v2").collect()}
+    assert got[103]["CANAL GIRO"] == "GIRO ACH"
+    old = replace(PROFILES["v2"], prepaid_is_ach=False)
+    got = {r["SOLICITUD"]: r for r in transfer_detail(t, c, old).collect()}
+    assert got[103]["CANAL GIRO"] == "PAGO BOT"
+
+
+def test_empty_text_can_stay_empty(spark, holidays):
+    from dataclasses import replace
+
+    t = relations(spark, rows(plan=PLAN))
+    origin = replace(PROFILES["v1"], empty_as_null=False)
+    got = {r["SOLICITUD"]: r for r in transfer_detail(t, cal(spark, holidays), origin).collect()}
+    assert got[101]["TIPOCUENTA"] == ""
+    (r,) = transfer_totals(t, cal(spark, holidays), origin).collect()
+    assert r["c02"] == ""
+
+
+def test_null_concat_makes_totals_null(spark, holidays, t):
+    from dataclasses import replace
+
+    origin = replace(PROFILES["v1"], null_concat=True)
+    (r,) = disbursement_totals(t, cal(spark, holidays), origin).collect()
+    assert r["TOTALDESEMBOLSO"] is None
