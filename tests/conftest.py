@@ -11,7 +11,10 @@ from mesada.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, "mesada-tests")
+    # Small inputs: few partitions keep the many short jobs short.
+    s = local_session(
+        4, "mesada-tests", **{"spark.sql.shuffle.partitions": "2", "spark.default.parallelism": "1"}
+    )
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
