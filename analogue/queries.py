@@ -461,7 +461,7 @@ def _left_inner(spark, sf_dir):
 def _children(spark, sf_dir):
     pm = relations(spark, sf_dir)["informacionpm"]
     return ranked_children(
-        pm, "DatosFactura", ["idInformacionPM"],
+        pm, ["DatosFactura"], ["idInformacionPM"],
         ["idInformacionPM", "Operacionacancelar", "valorcruce"],
     )
 

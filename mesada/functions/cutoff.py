@@ -21,7 +21,7 @@ def cutoff_label(ts: Column, windows: Sequence[tuple[int, int, str]] = BATCHES)
         hit = F.hour(ts).between(first, last)
         suffix = (F if suffix is None else suffix).when(hit, F.lit("." + batch))
     # concat is NULL when the hour has no batch.
-    return F.concat(yymmdd(ts), suffix)
+    return F.concat(yymmdd(F.to_date(ts)), suffix)
 
 
 def cutoff_base(d: Column) -> Column:

@@ -55,7 +55,7 @@ def money_text(
     off by default. `grp` None or '' means no grouping (E3).
     """
     dec = dec or ","
-    v = F.round(nvl(x, 0).cast("decimal(38,4)"), 2)
+    v = F.round(nvl(x, 0), 2)
     if grp:
         # Through private marks, so that dec and grp may swap '.' and ','.
         body = F.replace(
@@ -101,7 +101,7 @@ def fixed_number_text(x: Column, length: int, decimals: int, strict: bool = Fals
     if decimals <= 0:
         return zero_pad(x, length)
     whole = max(length - decimals - 1, 1) + (1 if strict else 0)
-    v = F.round(nvl(x, 0).cast("decimal(38,10)"), decimals).cast(f"decimal(38,{decimals})")
+    v = F.round(nvl(x, 0), decimals).cast(f"decimal(38,{decimals})")
     digits = F.lpad(F.abs(v).cast("string"), whole + 1 + decimals, "0")
     body = F.when(F.abs(v) >= F.lit(10**whole), F.lit("#" * length)).otherwise(
         F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), digits)

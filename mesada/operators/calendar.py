@@ -34,7 +34,8 @@ NO_HOLIDAY = dt.date(1900, 1, 1)
 
 def as_of_frame(spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame:
     """The reporting dates, one row each. Stands for a one-row constant relation."""
-    return spark.createDataFrame([(d,) for d in dates], "as_of date").distinct()
+    rows = ", ".join(f"(DATE '{d:%Y-%m-%d}')" for d in sorted(set(dates)))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS dates(as_of)")
 
 
 def holiday_or_epoch(
@@ -182,14 +183,25 @@ def _previous_month(d: dt.date) -> dt.date:
 
 def report_calendar(
     spark: SparkSession, dates: Iterable[dt.date] | DataFrame, holidays: DataFrame,
-    rule: str = "today", strict: bool = True,
+    rule: str = "today", strict: bool = True, measure_span: bool = False,
 ) -> ReportCalendar:
-    """Calendar for literal dates (range pushed to the scan) or for a DataFrame of `as_of`."""
+    """Calendar for literal dates, or for a DataFrame of `as_of`.
+
+    Literal dates give the fact scan a range at once. For a DataFrame, `measure_span` runs
+    one small job for its first and last date; without it no range is pushed.
+    """
     if isinstance(dates, DataFrame):
-        return ReportCalendar(business_calendar(dates, holidays, rule, strict))
-    dates = sorted(set(dates))
-    frame = business_calendar(as_of_frame(spark, dates), holidays, rule, strict)
-    return ReportCalendar(frame, _previous_month(dates[0]), _previous_month(dates[-1]))
+        frame = business_calendar(dates, holidays, rule, strict)
+        if not measure_span:
+            return ReportCalendar(frame)
+        first, last = dates.agg(F.min("as_of"), F.max("as_of")).first()
+        if first is None:
+            return ReportCalendar(frame)
+    else:
+        dates = set(dates)
+        frame = business_calendar(as_of_frame(spark, dates), holidays, rule, strict)
+        first, last = min(dates), max(dates)
+    return ReportCalendar(frame, _previous_month(first), _previous_month(last))
 
 
 def start_dates(dates: DataFrame, holidays: DataFrame, rule: str = "today") -> DataFrame:

@@ -31,19 +31,20 @@ def with_rank(
 
 
 def ranked_children(
-    df: DataFrame, part: str, order: Sequence[str], cols: Sequence[str], n: int = MAX_CHILDREN,
-    out: str = "children",
+    df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str],
+    n: int = MAX_CHILDREN, out: str = "children",
 ) -> DataFrame:
     """A2: one row per parent with an array of its first `n` children in order.
 
     Rank, limit and grouping share one hash partitioning on the parent: one shuffle.
     Children without a parent key can match no parent and are left out before it.
     """
-    needed = list(dict.fromkeys([part, *order, *cols]))
-    ranked = with_rank(
-        df.select(*needed).filter(F.col(part).isNotNull()), [part], order
-    ).filter(F.col("conteo") <= n)
-    return ranked.groupBy(part).agg(
+    needed = list(dict.fromkeys([*part, *order, *cols]))
+    keyed = df.select(*needed)
+    for p in part:
+        keyed = keyed.filter(F.col(p).isNotNull())
+    ranked = with_rank(keyed, part, order).filter(F.col("conteo") <= n)
+    return ranked.groupBy(*part).agg(
         F.sort_array(F.collect_list(F.struct("conteo", *cols))).alias(out)
     )
 

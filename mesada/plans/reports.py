@@ -34,8 +34,9 @@ from mesada.functions.text import (
     term_code,
 )
 from mesada.operators.calendar import ReportCalendar, end_dates, start_dates
+from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import month_gate, type_filter
-from mesada.operators.lookups import bridge_lookup, lookup
+from mesada.operators.lookups import SPREAD, bridge_lookup, lookup, with_spread
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import account_number, fold_fixed, fold_ranked, ranked_children
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
@@ -105,7 +106,7 @@ def disbursement_detail(
         month_gate(
             envios, cal, "fechaenvio", guard=True, cutoff_op=p.cutoff_op, month_col=month_col
         )
-        .select("as_of", "solicitud", ddmmyyyy(c("fechaenvio")).alias("fecha"), "corte")
+        .select("as_of", "solicitud", ddmmyyyy(F.to_date("fechaenvio")).alias("fecha"), "corte")
         .distinct()
     )
     cases = _case_keys(
@@ -215,7 +216,9 @@ def disbursement_detail(
         ),
         "CORTE DISPERSION": c("corte"),
     }
-    out = df.select("as_of", *[values[n].alias(n) for n in DISBURSEMENT_COLUMNS]).distinct()
+    out = distinct_rows(
+        df.select("as_of", *[values[n].alias(n) for n in DISBURSEMENT_COLUMNS])
+    )
     return _finish(out, p, with_as_of, p.disbursement_order if ordered else None)
 
 
@@ -250,25 +253,45 @@ def transfer_detail(
     keys = gated(["solicitud", "fechaenvio"]).select(c("solicitud").alias("key")).distinct()
     cases = _case_keys(t, "DatosFactura", "Seguros", "InformaciondeEstudio", "Operaciones")
     req = cases.join(keys, c("caso") == c("key"), "left_semi")
+    # A request without an invoice has a NULL key: its own number spreads such rows.
+    req = with_spread(req, "ori_DatosFactura", "caso")
     ope = t["operaciones"].drop("MontoaFinanciarSinSeguros", "GMF", "DiadePago", "rgm")
-    invoice = t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura")
+    invoice = with_spread(
+        t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura"), "idDatosFactura"
+    ).withColumnRenamed(SPREAD, "fac_spread")
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
     insurance = t["seguros"].select("idSeguros", "BonoAstara", "bMantenimientoPrepagado")
     # Children hang on the invoice row, so a request without one has none.
     children = ranked_children(
-        t["informacionpm"], "DatosFactura", ["idInformacionPM"],
-        ["idInformacionPM", "Operacionacancelar", "valorcruce"],
-    ).withColumnRenamed("DatosFactura", "pm_factura")
-    invoice = lookup(invoice, children, "idDatosFactura", "pm_factura", "left")
+        with_spread(t["informacionpm"], "DatosFactura"), ["DatosFactura", SPREAD],
+        ["idInformacionPM"], ["idInformacionPM", "Operacionacancelar", "valorcruce"],
+    ).withColumnsRenamed({"DatosFactura": "pm_factura", SPREAD: "pm_spread"})
+    invoice = invoice.join(
+        children,
+        (c("idDatosFactura") == c("pm_factura")) & (c("fac_spread") == c("pm_spread")),
+        "left",
+    )
     req = lookup(req, ope, "ori_Operaciones", "idOperaciones", "left")
+    # Folded here, so that one text travels on instead of six columns.
+    fixed = fold_fixed(
+        [c("OperacionCancelarPM"), c("OperacionaCancelarPM2"), c("OperacionaCancelarPM3")],
+        [c("valorcruce1"), c("valorcruce2"), c("valorcruce3")],
+        p.money_style, nc,
+    )
+    req = req.select(*cases.columns, SPREAD, "planmayor", fixed.alias("fixed"))
     req = lookup(req, study, "ori_InformaciondeEstudio", "idInformacionestudio", "left")
     req = lookup(req, insurance, "ori_Seguros", "idSeguros", "left")
-    req = lookup(req, invoice, "ori_DatosFactura", "idDatosFactura", "left")
+    req = req.join(
+        invoice,
+        (c("ori_DatosFactura") == c("idDatosFactura")) & (c(SPREAD) == c("fac_spread")),
+        "left",
+    )
     # The texts that depend on the request alone are built once per request.
     pm = c("children")
     req = req.select(
         "caso",
         "planmayor",
+        "fixed",
         "ValorAccesoriosFactura",
         "ValorSubvecionado",
         "BonoAstara",
@@ -276,12 +299,7 @@ def transfer_detail(
         F.get(pm, F.lit(0))["idInformacionPM"].alias("pm1_id"),
         F.get(pm, F.lit(0))["Operacionacancelar"].alias("pm1_op"),
         fold_ranked(pm, "Operacionacancelar", "valorcruce", p.money_style, nc).alias("ranked"),
-        fold_fixed(
-            [c("OperacionCancelarPM"), c("OperacionaCancelarPM2"), c("OperacionaCancelarPM3")],
-            [c("valorcruce1"), c("valorcruce2"), c("valorcruce3")],
-            p.money_style, nc,
-        ).alias("fixed"),
-    )
+    )
 
     df = sent.join(req, c("solicitud") == c("caso"), "left")  # J19
     prepaid = is_prepaid(c("bMantenimientoPrepagado"), c("IdDesembolsoDetalle"))
@@ -304,7 +322,7 @@ def transfer_detail(
         ),
         "CORTE DISPERSION": c("corte"),
     }
-    out = df.select("as_of", *[values[n].alias(n) for n in TRANSFER_COLUMNS]).distinct()
+    out = distinct_rows(df.select("as_of", *[values[n].alias(n) for n in TRANSFER_COLUMNS]))
     return _finish(out, p, with_as_of, p.transfer_order if ordered else None)
 
 

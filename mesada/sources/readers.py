@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mesada.profiles import Profile, get_profile
-from mesada.sources.schemas import RELATIONS, schema_of
+from mesada.sources.schemas import RELATIONS, ddl_of, schema_of
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +54,14 @@ class JdbcSource:
     ranges: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict, hash=False)
 
     def options(self, name: str) -> dict[str, str]:
-        out = {"url": self.url, "dbtable": f"{self.schema}.{name}", **self.properties}
+        out = {
+            "url": self.url,
+            "dbtable": f"{self.schema}.{name}",
+            # Read with the final types: no cast stands between a filter and the database.
+            "customSchema": ddl_of(name),
+            "preferTimestampNTZ": "true",
+            **self.properties,
+        }
         if name in self.ranges:
             column, lower, upper, partitions = self.ranges[name]
             out |= {

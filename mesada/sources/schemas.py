@@ -68,5 +68,9 @@ _DDL = {
 RELATIONS = tuple(_DDL)
 
 
+def ddl_of(name: str) -> str:
+    return _DDL[name]
+
+
 def schema_of(name: str) -> StructType:
     return StructType.fromDDL(_DDL[name])

@@ -34,10 +34,12 @@ def write_report(
 def write_by_month(df: DataFrame, path: str, ts_col: str, mode: str = "errorifexists") -> None:
     """Store facts by month of `ts_col`, so that a month gate reads only its months.
 
-    No repartition by month: a month that holds most rows stays spread over all tasks.
+    Rows are rebalanced by month, so months get files of even size: Spark merges small
+    months and splits one that holds most rows.
     """
     (
         df.withColumn(MONTH_COLUMN, F.trunc(ts_col, "MM"))
+        .hint("rebalance", F.col(MONTH_COLUMN))
         .write.mode(mode)
         .partitionBy(MONTH_COLUMN)
         .parquet(path)

@@ -3,6 +3,9 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from mesada.sources.readers import Relations
 from mesada.sources.schemas import schema_of
 
@@ -79,6 +82,11 @@ def rows(extra_sendings=(), missing_insurance=(), duplicate_lines=(), children=(
 
 
 def relations(spark, data):
-    return Relations(
-        lambda n: spark.createDataFrame(data[n], schema_of(n)), names=tuple(data)
-    )
+    def frame(name):
+        schema = schema_of(name)
+        # Through Arrow these become local relations of known size.
+        columns = list(zip(*data[name], strict=True)) or [[] for _ in schema]
+        table = pa.table([list(col) for col in columns], schema=to_arrow_schema(schema))
+        return spark.createDataFrame(table, schema)
+
+    return Relations(frame, names=tuple(data))

@@ -1,0 +1,211 @@
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from mesada.functions import labels, text
+from mesada.functions.cutoff import cutoff_label, cutoff_matches
+from mesada.functions.sql import create_sql_functions
+
+
+def run(spark, values, ddl, *fns):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {ddl}")
+    rows = df.select("i", *[f(F.col("v")).alias(f"o{k}") for k, f in enumerate(fns)])
+    out = [tuple(r)[1:] for r in rows.orderBy("i").collect()]
+    return [r[0] for r in out] if len(fns) == 1 else out
+
+
+def test_money_text(spark):
+    values = [None, "0", "1234567.5", "-1234.5", "2.345", "8998.98495", "999999999999999.99"]
+    got = run(spark, [v and D(v) for v in values], "decimal(30,10)", text.money_text)
+    assert got == [
+        "0,00", "0,00", "1234567,50", "-1234,50", "2,35", "8998,98", "999999999999999,99",
+    ]
+    assert run(spark, [D("1000000000000000")], "decimal(30,2)", text.money_text) == ["#" * 23]
+
+
+def test_money_text_parameters(spark):
+    def padded(x):
+        return text.money_text(x, width=12, prefix="$", suffix="!")
+
+    def dots(x):
+        return text.money_text(x, dec=",", grp=".")
+
+    def plain(x):
+        return text.money_text(x, dec=None, grp=None)
+
+    got = run(spark, [D("1234567.5"), D("-0.5")], "decimal(18,2)", padded, dots, plain)
+    assert got == [
+        (" $1234567,50!"[1:], "1.234.567,50", "1234567,50"),
+        ("     $-0,50!"[:], "-0,50", "-0,50"),
+    ]
+
+
+def test_num_text(spark):
+    values = ["100.00", "100.50", "0.50", "-0.50", "0", "1200", None, "-7.05"]
+    got = run(spark, [v and D(v) for v in values], "decimal(18,2)", text.num_text)
+    assert got == ["100", "100.5", ".5", "-.5", "0", "1200", None, "-7.05"]
+    assert run(spark, [1000, 0], "int", text.num_text) == ["1000", "0"]
+    tiny = [D("0E-18"), D("0.000000000000000001")]
+    assert run(spark, tiny, "decimal(38,18)", text.num_text) == ["0", ".000000000000000001"]
+
+
+def test_dollar_of_null(spark):
+    assert run(spark, [None], "decimal(18,2)", lambda x: text.dollar(text.num_text(x))) == ["$"]
+    got = run(spark, [None], "decimal(18,2)", lambda x: text.dollar(text.num_text(x), True))
+    assert got == [None]
+
+
+def test_grouped_text(spark):
+    values = ["1234567.5", "0", None, "-1500.49", "999999999999.4", "999999999999.5"]
+    got = run(spark, [v and D(v) for v in values], "decimal(18,2)", text.grouped_text)
+    assert got == ["1,234,568", "0", None, "-1,500", "999,999,999,999", "#" * 16]
+
+
+def test_zero_pad_and_terms(spark):
+    values = [48, None, D("7.9"), 1234, -5]
+    got = run(spark, [None if v is None else D(v) for v in values], "decimal(10,1)",
+              lambda x: text.zero_pad(x, 3))
+    assert got == ["048", "000", "007", "123", "0-5"]
+    df = spark.createDataFrame(
+        [("M", 48), ("A", 5), (None, 12), ("X", 1234), ("M", None)], "u string, n int"
+    )
+    rows = df.select(
+        text.term_code(F.col("u"), F.col("n")), text.term_code(F.col("u"), F.col("n"), "grouped")
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        ("2048", "2048"), ("3005", "3005"), ("0012", "0012"), ("0123", "0###"), ("2000", "2"),
+    ]
+
+
+def test_fixed_number_text(spark):
+    def strict(x):
+        return text.fixed_number_text(x, 8, 2, strict=True)
+
+    def right(x):
+        return text.fixed_number_text(x, 8, 2)
+
+    values = [D("3.14159"), D("-2.5"), D("123456.789"), D("1234567.00"), None]
+    got = run(spark, values, "decimal(18,5)", strict, right)
+    assert got[0] == ("000003.1", "00003.14")
+    assert got[1] == ("-000002.", "-00002.5")
+    assert got[2] == ("123456.7", "########")
+    assert got[3] == ("########", "########")
+    assert got[4] == ("000000.0", "00000.00")
+    assert run(spark, [D("48")], "decimal(5,0)", lambda x: text.fixed_number_text(x, 3, 0)) == [
+        "048"
+    ]
+
+
+def test_concat_and_empty(spark):
+    df = spark.sql("select 'a' as `x/y`, cast(null as string) n, '' as e, 1 as i")
+    row = df.select(
+        text.concat_text(F.col("`x/y`"), F.col("n"), F.col("`x/y`")),
+        text.concat_text(F.col("`x/y`"), F.col("n"), null_concat=True),
+        text.without(F.lit("a.b//c//"), "//"),
+        text.cut(F.lit("abcdef"), 4),
+    ).first()
+    assert tuple(row) == ("aa", None, "a.bc", "abcd")
+    assert tuple(text.empty_to_null(df).first()) == ("a", None, None, 1)
+    assert text.empty_to_null(df).columns == df.columns
+
+
+NAMES = [
+    ("SOR", "Cliente : X", "a", "b", "c", "d", "SOR"),
+    (None, "Cliente : ANA RUIZ", "a", "b", "c", "d", "ANA RUIZ"),
+    (None, None, "ruiz", None, "ana", "maria", "RUIZ , ANA MARIA"),
+    (None, None, None, None, None, None, " ,  "),
+    (None, "n" * 120, None, None, None, None, "n" * 100),
+]
+
+
+def test_display_name(spark):
+    ddl = ", ".join(f"c{i} string" for i in range(7))
+    df = spark.createDataFrame(NAMES, ddl)
+    cols = [F.col(f"c{i}") for i in range(6)]
+    rows = df.select(labels.display_name(*cols), "c6").collect()
+    assert all(got == want for got, want in rows)
+    origin = df.select(labels.display_name(*cols, null_concat=True)).collect()
+    assert [r[0] for r in origin][2:4] == ["RUIZ , ANA MARIA", None]
+
+
+@pytest.mark.parametrize(
+    "prepaid, subsidy, bonus, acc, want",
+    [
+        (True, 1, 1, 1, "MANTENIMIENTO PREPAGADO"),
+        (False, 1, 2.5, 1, "CON ACCESORIOS SUBVENCIONADO-DESCUENTO BONO POLIZA $2.5"),
+        (False, 1, 100, None, "SUBVENCIONADO-DESCUENTO BONO POLIZA $100"),
+        (False, 1, None, 5, "SUBVENCIONADO"),
+        (None, 0, 0.5, 5, "DESCUENTO BONO POLIZA $.5"),
+        (False, None, -1, 5, "ACCESORIOS"),
+        (False, None, None, 0, ""),
+    ],
+)
+def test_remarks(spark, prepaid, subsidy, bonus, acc, want):
+    def dec(x):
+        return F.lit(None if x is None else D(str(x))).cast("decimal(18,2)")
+
+    flag = F.lit(prepaid).cast("boolean")
+    got = spark.range(1).select(labels.remarks(flag, dec(subsidy), dec(bonus), dec(acc))).first()
+    assert got[0] == want
+
+
+def test_protection_and_fee(spark):
+    df = spark.createDataFrame(
+        [(D(5), D(3), 1, D(9)), (None, D(3), 2, D(9)), (D(0), None, None, None),
+         (None, None, 1, None)],
+        "u decimal(18,2), p decimal(18,2), g int, f decimal(18,2)",
+    )
+    u, p, g, f = map(F.col, "upgf")
+    rows = df.select(
+        labels.protection_value(u, p), labels.protection_mode(u, p), labels.guarantee_fee(g, f)
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (D(5), "Anual", D(9)), (D(3), "Mensual", D(0)), (D(0), "", D(0)), (D(0), "", D(0)),
+    ]
+
+
+def test_cutoff_label_hours(spark):
+    df = spark.sql(
+        "select id h, cast('2024-01-02 00:59:59' as timestamp_ntz) + id * interval '1' hour ts "
+        "from range(24)"
+    )
+    got = {r["h"]: r["l"] for r in df.select("h", cutoff_label(F.col("ts")).alias("l")).collect()}
+    want = dict.fromkeys(range(24))
+    for hours, batch in (((7, 8, 9), "0900"), ((11, 12, 13), "1300"), ((14, 15), "1500")):
+        want |= {h: f"240102.{batch}" for h in hours}
+    assert got == want
+
+
+def test_cutoff_null_never_matches(spark):
+    df = spark.sql("select cast(null as string) l, '240102.0900' b")
+    for op in "=>":
+        assert df.filter(cutoff_matches(F.col("l"), F.col("b"), op)).count() == 0
+    with pytest.raises(ValueError):
+        cutoff_matches(F.col("l"), F.col("b"), "<")
+
+
+def test_label_does_not_depend_on_session_zone(spark):
+    # 02:30 does not exist on this day in New York; the sending has no zone.
+    df = spark.sql("select cast('2024-03-10 00:30:00' as timestamp_ntz) + interval '7' hour ts")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert df.select(cutoff_label(F.col("ts"))).first()[0] == "240310.0900"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_sql_functions(spark):
+    create_sql_functions(spark)
+    row = spark.sql("""
+      select formatmoney(-1234.5, 30, '', '', ',', ''), formatmoney(null),
+        formatmoney(1234567.5, 15, '$', '', ',', '.'), format_number_padded(48, '', 3),
+        replace(formatmoney(2.345), ' ', ''), formatmoney(1e15, 23)
+    """).first()
+    assert tuple(row) == (
+        "-1234,50".rjust(30), "0,00".rjust(30), "  $1.234.567,50", "048", "2,35", "#" * 23,
+    )
+    plan = spark.sql("select formatmoney(id) from range(3)")._jdf.queryExecution().toString()
+    assert "Python" not in plan
