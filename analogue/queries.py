@@ -22,8 +22,10 @@ from mesada import (
 )
 from mesada.functions import labels, text
 from mesada.functions.cutoff import cutoff_label
+from mesada.functions.sql import create_sql_functions
 from mesada.functions.dates import add_months_keep_end, ddmmyyyy, month_name, yymmdd, yyyymm
 from mesada.operators.calendar import business_calendar, holiday_or_epoch, last_business_day
+from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import cutoff_filter, month_gate, type_filter, weekday_guard
 from mesada.operators.lookups import bridge_lookup, lookup
 from mesada.operators.ordering import order_by_ordinal
@@ -259,7 +261,7 @@ def _flagship(op):
         cal = report_calendar(spark, [EVENTS_AS_OF], holidays(spark))
         events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
         gated = month_gate(events, cal, "ts", guard=True, cutoff_op=op)
-        return gated.select("as_of", "user_id", "event_type", "corte").distinct()
+        return distinct_rows(gated.select("as_of", "user_id", "event_type", "corte"))
 
     return fn
 
@@ -307,9 +309,6 @@ def _cutoff_text(spark, sf_dir):
     return cutoff_filter(e, "corte", "base", ">").drop("base")
 
 
-_BACKFILL_DATES = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) + 1 AS as_of FROM {orders}"
-
-
 @query(
     "backfill_months",
     o.ctes(
@@ -391,8 +390,8 @@ def _star(spark, sf_dir):
         "p_name",
         "s_name",
         c("l_extendedprice").cast("decimal(18,2)").alias("valor"),
-    ).distinct()
-    return order_by_ordinal(out, 3)
+    )
+    return order_by_ordinal(distinct_rows(out), 3)
 
 
 @query(
@@ -595,6 +594,20 @@ def _zero_pad(spark, sf_dir):
     )
 
 
+@query(
+    "sql_functions",
+    f"""SELECT c_custkey, lpad({o.money("CAST(c_acctbal AS DECIMAL(18,2))")}, 30, ' ') AS txt,
+  lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS cuotas FROM customer""",
+)
+def _sql_functions(spark, sf_dir):
+    create_sql_functions(spark)
+    return spark.sql(
+        "SELECT c_custkey, formatmoney(CAST(c_acctbal AS DECIMAL(18,2)), 30, '', '', ',', '') AS txt,"
+        " format_number_padded(c_nationkey, '', 3) AS cuotas FROM {customer}",
+        customer=table(spark, sf_dir, "customer"),
+    )
+
+
 @query(
     "display_name",
     o.ctes(o.rel("originacion", "originacion_solicitudes", "cliente"))

@@ -20,8 +20,8 @@ def cutoff_label(ts: Column, windows: Sequence[tuple[int, int, str]] = BATCHES)
     for first, last, batch in windows:
         hit = F.hour(ts).between(first, last)
         suffix = (F if suffix is None else suffix).when(hit, F.lit("." + batch))
-    # concat is NULL when the hour has no batch.
-    return F.concat(yymmdd(F.to_date(ts)), suffix)
+    # The date is formatted only for the hours of a batch.
+    return F.when(suffix.isNotNull(), F.concat(yymmdd(F.to_date(ts)), suffix))
 
 
 def cutoff_base(d: Column) -> Column:

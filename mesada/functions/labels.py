@@ -85,18 +85,16 @@ def channel(plan: Column, first_op: Column, prepaid: Column, prepaid_is_ach: boo
 
 
 def remarks(prepaid: Column, subsidy: Column, bonus: Column, accessories: Column) -> Column:
-    """Upper-case remark, first match wins."""
+    """Upper-case remark: prepaid alone, else the parts that apply.
+
+    Accessories are named before subsidy with bonus, or alone, but not next to one of them.
+    """
     subsidised, has_bonus, has_accessories = map(positive, (subsidy, bonus, accessories))
-    bonus_text = concat_text(F.lit(BONUS), num_text(F.abs(nvl(bonus, 0))))
-    both = concat_text(F.lit(SUBSIDISED + "-"), bonus_text)
-    return F.upper(
-        F.when(prepaid, PREPAID)
-        .when(
-            subsidised & has_bonus,
-            F.when(has_accessories, concat_text(F.lit(WITH_ACCESSORIES), both)).otherwise(both),
-        )
-        .when(subsidised, SUBSIDISED)
-        .when(has_bonus, bonus_text)
-        .when(has_accessories, ACCESSORIES)
-        .otherwise("")
+    parts = concat_text(
+        F.when(subsidised & has_bonus & has_accessories, WITH_ACCESSORIES),
+        F.when(subsidised, SUBSIDISED),
+        F.when(subsidised & has_bonus, "-"),
+        F.when(has_bonus, concat_text(F.lit(BONUS), num_text(F.abs(nvl(bonus, 0))))),
+        F.when(~subsidised & ~has_bonus & has_accessories, ACCESSORIES),
     )
+    return F.upper(F.when(prepaid, PREPAID).otherwise(parts))

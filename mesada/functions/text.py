@@ -29,16 +29,16 @@ def without(x: Column, token: str) -> Column:
 
 
 def num_text(x: Column) -> Column:
-    """shortest decimal text, no trailing zeros and no zero before the point."""
-    s = x.cast("string")
-    trimmed = F.when(
-        s.contains("."), F.rtrim(F.rtrim(s, F.lit("0")), F.lit("."))
-    ).otherwise(s)
-    return (
-        F.when(trimmed.startswith("0."), F.substr(trimmed, F.lit(2)))
-        .when(trimmed.startswith("-0."), F.concat(F.lit("-"), F.substr(trimmed, F.lit(3))))
-        .otherwise(trimmed)
-    )
+    """shortest decimal text, no trailing zeros and no zero before the point.
+
+    Each branch makes one text: reports use this many times per row, and a repeated
+    sub-expression would be generated, and run, once per mention.
+    """
+    whole = F.floor(x)
+    sign = F.when(x < 0, "-").otherwise("")
+    # A value with a fraction has a point, so only zeros of the fraction end its text.
+    digits = F.ltrim(F.rtrim(F.abs(x).cast("string"), F.lit("0")), F.lit("0"))
+    return F.when(F.ceil(x) == whole, whole.cast("string")).otherwise(F.concat(sign, digits))
 
 
 def money_text(
