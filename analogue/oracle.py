@@ -155,7 +155,7 @@ def _d0(x: str) -> str:
     return _d(f"coalesce({x}, 0)")
 
 
-def disbursement_detail(profile: str) -> str:
+def disbursement_detail(profile: str, days: str = DATES) -> str:
     op = ">" if profile == "v2" else "="
     rule = "anchor" if profile == "draft" else "today"
     if profile == "draft":
@@ -171,7 +171,7 @@ def disbursement_detail(profile: str) -> str:
         "fasecolda_ref3_ek", "fasecolda_ref3", "registrogarantiamobiliar",
     )
     return (
-        ctes(rel(*names), HOL, dates(), calendar(rule), gate(guard=True), sent(op))
+        ctes(rel(*names), HOL, dates(days), calendar(rule), gate(guard=True), sent(op))
         + f"""SELECT DISTINCT strftime(e.as_of, '%Y-%m-%d') AS as_of, d.Solicitud AS "OP",
   strftime(e.fechaenvio, '%d/%m/%Y') AS "FECHA", d.numeroCredito AS "NUMEROCREDITO",
   coalesce(s.Nombres, replace(substr(cl.NombreConcatenado, 1, 100), 'Cliente : ', ''),
@@ -220,7 +220,7 @@ def _unit() -> str:
     )
 
 
-def transfer_detail(profile: str) -> str:
+def transfer_detail(profile: str, days: str = DATES) -> str:
     op = ">" if profile == "v2" else "="
     rule = "anchor" if profile == "draft" else "today"
     style = "grouped" if profile == "draft" else "plain"
@@ -241,7 +241,7 @@ def transfer_detail(profile: str) -> str:
         "operaciones", "informacionpm", "banco",
     )
     return (
-        ctes(rel(*names), HOL, dates(), calendar(rule), gate(guard=True), sent(op, types),
+        ctes(rel(*names), HOL, dates(days), calendar(rule), gate(guard=True), sent(op, types),
              folded(style))
         + f"""SELECT DISTINCT strftime(e.as_of, '%Y-%m-%d') AS as_of, e.solicitud AS "SOLICITUD",
   e.razonSocial AS "BENEFICIARIO", e.numeroIdentificacion AS "CC/NIT/CE", b.Nombre AS "BANCO",
@@ -273,7 +273,7 @@ LEFT JOIN plegado pm ON pm.k = f.idDatosFactura"""
     )
 
 
-def disbursement_totals(profile: str) -> str:
+def disbursement_totals(profile: str, days: str = DATES) -> str:
     op, lag, how = (">", 0, "JOIN") if profile == "v2" else ("=", 17, "LEFT JOIN")
     names = (
         "desembolso", "desembolsorelacion", "originacion", "datosfactura", "seguros",
@@ -292,7 +292,7 @@ def disbursement_totals(profile: str) -> str:
         expr, name = slots.get(i, ("CAST(NULL AS VARCHAR)", f"c{i:02d}"))
         cols.append(f"{expr} AS {name}")
     return (
-        ctes(rel(*names), HOL, dates(), calendar("today"), gate(lag), sent(op, (1,)),
+        ctes(rel(*names), HOL, dates(days), calendar("today"), gate(lag), sent(op, (1,)),
              f"""t AS (SELECT e.as_of, sum(o.MontoaFinanciarSinSeguros) AS a,
   sum(i.ValorSubvecionado) AS b, sum(g.iValorMantenimiento) AS c,
   sum(f.ValorAccesoriosFactura) AS d, sum(g.BonoAstara) AS e, sum(d.montoDesembolsar) AS f
@@ -307,11 +307,11 @@ JOIN operaciones o ON o.idOperaciones = og.Operaciones
     )
 
 
-def transfer_totals(profile: str) -> str:
+def transfer_totals(profile: str, days: str = DATES) -> str:
     op = ">" if profile == "v2" else "="
     blanks = ", ".join(f"CAST(NULL AS VARCHAR) AS c{i:02d}" for i in range(2, 7))
     return (
-        ctes(rel("desembolso", "desembolsorelacion"), HOL, dates(), calendar("today"), gate(),
+        ctes(rel("desembolso", "desembolsorelacion"), HOL, dates(days), calendar("today"), gate(),
              sent(op, (1, 2, 6, 7)),
              """t AS (SELECT e.as_of, sum(abs(e.montoDesembolsar)) AS v
 FROM desembolso d JOIN envio e ON e.solicitud = d.Solicitud GROUP BY e.as_of)""")

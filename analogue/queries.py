@@ -30,6 +30,7 @@ from mesada.operators.gate import cutoff_filter, month_gate, type_filter, weekda
 from mesada.operators.lookups import bridge_lookup, lookup
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
+from mesada.operators.scope import MAX_KEYS
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.profiles import PROFILES
 
@@ -740,6 +741,31 @@ query("totals_empty", _totals_sql("WHERE l_quantity < 0"))(_totals("l_quantity <
 
 # -- reports ------------------------------------------------------------------------------
 
+_MONTH_DAYS = [EVENTS_AS_OF, dt.date(2024, 2, 18)]
+
+
+def _month_report(fn, profile):
+    """One reported month, with the requests counted first."""
+
+    def q(spark, sf_dir):
+        t = relations(spark, sf_dir)
+        cal = report_calendar(spark, _MONTH_DAYS, holidays(spark))
+        return fn(t, cal, profile, max_keys=MAX_KEYS)
+
+    return q
+
+
+for _fn, _sql, _profile in (
+    (disbursement_detail, o.disbursement_detail, "v2"),
+    (transfer_detail, o.transfer_detail, "v1"),
+    (transfer_detail, o.transfer_detail, "v2"),
+    (disbursement_totals, o.disbursement_totals, "v1"),
+):
+    query(
+        f"month_{_fn.__name__}_{_profile}",
+        _sql(_profile, " UNION ".join(map(_one_date, _MONTH_DAYS))),
+    )(_month_report(_fn, _profile))
+
 
 def _report(fn, profile):
     def q(spark, sf_dir):

@@ -1,0 +1,78 @@
+"""Cutting lookup tables down to the requests of one report, where those are few.
+
+A monthly report needs a sliver of every lookup table, but a shuffle join moves the whole
+table. When the requested keys are counted first and are few, they are broadcast and each
+table is cut at its scan; beyond the limit the tables are joined as they are. Results are
+the same either way.
+"""
+
+from __future__ import annotations
+
+import tempfile
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# One million bigint keys take a few tens of megabytes as a broadcast hash table.
+MAX_KEYS = 1_000_000
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write `df` to the cluster's checkpoint folder and continue from there.
+
+    The folder comes from spark.checkpoint.dir; only a local session may do without.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="mesada-checkpoint-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
+def narrow(table: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
+    """Rows of `table` whose key is in the one-column `keys`; all rows without keys.
+
+    `keys` is broadcast, so its size must have been checked.
+    """
+    if keys is None:
+        return table
+    wanted = F.broadcast(keys.select(F.col(keys.columns[0]).alias("__wanted")))
+    return table.join(wanted, F.col(key) == F.col("__wanted"), "left_semi")
+
+
+@dataclass(frozen=True)
+class Scope:
+    """The case rows of a report and, where few, the keys that cut other tables down."""
+
+    cases: DataFrame
+    requests: DataFrame | None = None
+    few_cases: bool = False
+
+    def by_request(self, table: DataFrame, key: str) -> DataFrame:
+        return narrow(table, key, self.requests)
+
+    def by_case(self, table: DataFrame, key: str, case_column: str) -> DataFrame:
+        """Cut by a foreign key of the cases; as many distinct keys as cases at most."""
+        return narrow(
+            table, key, self.cases.select(case_column).distinct() if self.few_cases else None
+        )
+
+
+def scope(cases: DataFrame, requests: DataFrame, max_keys: int | None) -> Scope:
+    """Count the requested keys and the cases they select, if `max_keys` allows to try.
+
+    Runs a job over the reported months and one over the cases, and keeps both results in
+    the checkpoint folder, so that later steps read them instead of the tables.
+    """
+    if not max_keys:
+        return Scope(cases)
+    requests = checkpoint(requests.distinct())
+    if requests.count() > max_keys:
+        return Scope(cases)
+    cases = checkpoint(narrow(cases, "caso", requests))
+    return Scope(cases, requests, cases.count() <= max_keys)

@@ -106,6 +106,23 @@ def test_reports_stay_out_of_python(spark, holidays):
     assert len(re.findall(r" Window \[", text)) == 1
 
 
+def test_counted_keys_cut_tables_at_the_scan(spark, holidays, monkeypatch, stored):
+    # Without size estimates every lookup table would be shuffled.
+    monkeypatch.setattr("mesada.operators.scope.tempfile.mkdtemp", lambda **k: str(stored / "ck"))
+    t = relations(spark, rows(children=[(1, 101, "81A", 5)]))
+    t = {n: t[n].repartition(2) for n in t}
+    cal = report_calendar(spark, [AS_OF], holidays)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(transfer_detail(t, cal, "v1", max_keys=1000), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # operations, study, insurance, invoice, children
+    assert len(re.findall(r"BroadcastHashJoin .*LeftSemi", text)) == 5
+    assert "SortMergeJoin" in text
+
+
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
