@@ -18,8 +18,7 @@ def with_spread(df: DataFrame, key: str, by: str | None = None) -> DataFrame:
 
     Such rows match nothing, but a shuffle by the key alone sends them all to one task.
     The second key is a function of the first where that is set, so matching rows agree
-    on it, and a hash of `by` elsewhere. Needed only where the other side is grouped by
-    the key itself, a join that Spark does not split for skew.
+    on it, and a hash of `by` elsewhere.
     """
     sign = F.shiftright(F.col(key), 63)
     return df.withColumn(SPREAD, F.coalesce(sign, F.xxhash64(by)) if by else sign)

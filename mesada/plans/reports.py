@@ -266,27 +266,20 @@ def transfer_detail(
     req = s.cases
     if s.requests is None:
         req = req.join(keys, c("caso") == c("key"), "left_semi")
-    # A request without an invoice has a NULL key: its own number spreads such rows.
-    req = with_spread(req, "ori_DatosFactura", "caso")
     ope = t["operaciones"].drop("MontoaFinanciarSinSeguros", "GMF", "DiadePago", "rgm")
     invoice = s.by_case(
         t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura"),
         "idDatosFactura", "ori_DatosFactura",
     )
-    invoice = with_spread(invoice, "idDatosFactura").withColumnRenamed(SPREAD, "fac_spread")
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
     insurance = t["seguros"].select("idSeguros", "BonoAstara", "bMantenimientoPrepagado")
     # Children hang on the invoice row, so a request without one has none.
     children = s.by_case(t["informacionpm"], "DatosFactura", "ori_DatosFactura")
     children = ranked_children(
-        with_spread(children, "DatosFactura"), ["DatosFactura", SPREAD],
-        ["idInformacionPM"], ["idInformacionPM", "Operacionacancelar", "valorcruce"],
-    ).withColumnsRenamed({"DatosFactura": "pm_factura", SPREAD: "pm_spread"})
-    invoice = invoice.join(
-        children,
-        (c("idDatosFactura") == c("pm_factura")) & (c("fac_spread") == c("pm_spread")),
-        "left",
-    )
+        children, ["DatosFactura"], ["idInformacionPM"],
+        ["idInformacionPM", "Operacionacancelar", "valorcruce"],
+    ).withColumnRenamed("DatosFactura", "pm_factura")
+    invoice = lookup(invoice, children, "idDatosFactura", "pm_factura", "left")
 
     def by_case(df, table, case_column, key):
         return lookup(df, s.by_case(table, key, case_column), case_column, key, "left")
@@ -298,9 +291,14 @@ def transfer_detail(
         [c("valorcruce1"), c("valorcruce2"), c("valorcruce3")],
         p.money_style, nc,
     )
-    req = req.select(*cases.columns, SPREAD, "planmayor", fixed.alias("fixed"))
+    req = req.select(*cases.columns, "planmayor", fixed.alias("fixed"))
     req = by_case(req, study, "ori_InformaciondeEstudio", "idInformacionestudio")
     req = by_case(req, insurance, "ori_Seguros", "idSeguros")
+    # The invoice rows are already laid out by their number, and a join on that alone could
+    # not be split. The second key scatters requests without an invoice and gives the join
+    # two shuffled sides, so that many requests on one invoice can be split as well.
+    req = with_spread(req, "ori_DatosFactura", "caso")
+    invoice = with_spread(invoice, "idDatosFactura").withColumnRenamed(SPREAD, "fac_spread")
     req = req.join(
         invoice,
         (c("ori_DatosFactura") == c("idDatosFactura")) & (c(SPREAD) == c("fac_spread")),

@@ -166,6 +166,41 @@ def test_hot_request_is_split(spark, holidays, skewed):
     assert out.filter("SOLICITUD = 101").count() == 2000
 
 
+def test_hot_invoice_is_split(spark, holidays, skewed):
+    # A third of the requests share one invoice, another third have none.
+    n = 6000
+    t = dict(relations(spark, rows(plan={101: (1, ("81", None, None, 1, None, None))},
+                                   children=[(1, 101, "81A", 5)])))
+    ids = spark.range(1000, 1000 + n, 1, 8)
+    t["desembolsorelacion"] = ids.selectExpr(
+        "id solicitud",
+        "cast('2024-01-02 08:00:00' as timestamp_ntz) fechaenvio",
+        "1 IdDesembolsoDetalle",
+        "'R' razonSocial",
+        "'N' numeroIdentificacion",
+        "1 idBanco",
+        "'C' numeroCuenta",
+        "'AHORROS' tipoCuenta",
+        "cast(id as decimal(18,2)) montoDesembolsar",
+    ).repartition(8)
+    t["originacion"] = ids.selectExpr(
+        "id caso",
+        "case id % 3 when 0 then 101 when 1 then id end DatosFactura",
+        "id Seguros",
+        "id InformaciondeEstudio",
+        "101 + 0 * id Operaciones",
+        "id PlanFinanciacion",
+        "id Cliente",
+        "id Vehiculo",
+    ).repartition(8)
+    cal = report_calendar(spark, [AS_OF], holidays)
+    out = transfer_detail(t, cal, "v1", ordered=False)
+    text = final_plan(out)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[ori_DatosFactura", text)
+    counts = {r[0]: r[1] for r in out.groupBy("NUMEROCUENTA").count().collect()}
+    assert counts == {"81A - $5,00  ": n // 3, "81 - $1,00": n - n // 3}
+
+
 def test_hot_line_request_is_split(spark, holidays, skewed):
     # The same for the lines of a disbursement.
     t = dict(relations(spark, rows()))

@@ -194,12 +194,14 @@ def test_many_dates_equal_single_dates(spark, holidays):
                 assert sorted(map(str, one)) == sorted(str(r) for r in many if r["as_of"] == d)
 
 
-@pytest.mark.parametrize("max_keys", [1000, 1])
+@pytest.mark.parametrize("max_keys", [1000, 2, 1])
 def test_counted_keys_change_nothing(spark, holidays, max_keys):
-    # With room for all keys, and with too little room for the requests.
+    # With room for all keys, too little for the cases, too little for the requests.
     again = (101, "2024-01-02 08:50", 1, 1, "30000000")
     children = [(7, 101, "98B", D(50)), (3, 101, "81A", D(-100)), (4, 999, "75", D(1))]
-    t = relations(spark, rows(extra_sendings=[again], plan=PLAN, children=children))
+    data = rows(extra_sendings=[again], plan=PLAN, children=children)
+    data["originacion"].append((101, 105, 101, 101, 105, 1, 101, 101))
+    t = relations(spark, data)
     c = cal(spark, holidays, AS_OF, dt.date(2024, 2, 18))
     for report in (disbursement_detail, transfer_detail, disbursement_totals):
         plain = sorted(map(str, report(t, c, "v1").collect()))
