@@ -43,8 +43,8 @@ def holiday_or_epoch(
 ) -> DataFrame:
     """Add `out` = the probed date if it is a holiday, else 1900-01-01.
 
-    A date listed twice makes a single-row lookup fail; `strict` keeps that, otherwise
-    repeated dates count once. One row per date bounds the holiday side, so it is small
+    A date listed twice makes a single-row lookup fail; `strict` keeps that for the dates
+    probed, otherwise repeated dates count once. One row per date bounds the holiday side, so it is small
     enough for Spark to broadcast; nothing is hinted.
     """
     hol = holidays.groupBy(F.col("fecha").alias(f"{out}__d")).agg(F.count("*").alias(f"{out}__n"))
@@ -167,9 +167,9 @@ def business_calendar(
 class ReportCalendar:
     """Calendar rows plus, when the dates are known up front, the span of fact months.
 
-    An open gate always asks for the month before `as_of` or before `as_of` minus the lag's
-    month, which is the same month because the gate compares with a day of `as_of`'s month.
-    So the span follows from the dates alone, and the scan gets a literal range (Z2).
+    An open gate asks for the month before its business day, and that day lies in the month
+    of `as_of`, with a lag or without. So the span follows from the dates alone, and the
+    scan gets a literal range (Z2).
     """
 
     frame: DataFrame
