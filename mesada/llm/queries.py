@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mesada.llm.decontam import contaminated
 from mesada.llm.pii import pii_spans
 from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
 from mesada.llm.simhash import simhash_components
+from mesada.llm.spm import encoding_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +28,12 @@ def query(f):
     return f
 
 
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans(table(spark, sf_dir, "documents"))
@@ -38,6 +47,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), *names, "base_failed", "kept")
 
 
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    made = encoding_digests(table(spark, sf_dir, "documents"), model)
+    return made.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_components(table(spark, sf_dir, "documents"))

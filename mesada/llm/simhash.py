@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mesada.llm.common import checkpointed, id_and_text, map_text
+from mesada.llm.common import checkpointed, fresh, id_and_text, map_text
 from mesada.llm.components import connected_components
 
 SEED = 42
@@ -57,8 +58,8 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int(majority.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4) -> DataFrame:
-    """(id, fp): one row per row of docs, fp the fingerprint as a signed long."""
+def fingerprints(rows: DataFrame, shingle: int = 4) -> DataFrame:
+    """rows with fp, the text's fingerprint as a signed long, in place of text."""
 
     def work(texts: pa.Array) -> list:
         made = np.fromiter(
@@ -66,7 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4)
         )
         return [made.view(np.int64)]
 
-    return map_text(id_and_text(docs, id_col, text_col), "text", work, "fp long", drop_text=True)
+    return map_text(rows, "text", work, "fp long", drop_text=True)
 
 
 def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -157,6 +158,21 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, tile: int = 16_384) -> Da
     return pairs.mapInArrow(compare, "u long, v long")
 
 
+def _classes(rows: DataFrame, shingle: int, radius: int, tile: int) -> DataFrame:
+    """rows (id, text and others) with fp, label and component_id in place of text."""
+    prints = checkpointed(fingerprints(rows, shingle))
+    distinct = prints.groupBy("fp").agg(F.min("id").alias("least_id"))
+    labels = connected_components(fingerprint_links(distinct.select("fp"), radius, tile))
+    classes = checkpointed(
+        distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", "least_id", F.coalesce("label", "fp").alias("label")
+        )
+    )
+    least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    named = classes.select("fp", "label").join(least, "label")
+    return prints.join(named, "fp")
+
+
 def simhash_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -172,14 +188,38 @@ def simhash_components(
     rows and never as a component's least id (a class of null ids only has a null one).
     Repeated rows share everything; an empty table gives an empty result.
     """
-    prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least_id"))
-    labels = connected_components(fingerprint_links(distinct.select("fp"), radius, tile))
-    classes = checkpointed(
-        distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", "least_id", F.coalesce("label", "fp").alias("label")
-        )
+    rows = id_and_text(docs, id_col, text_col)
+    return _classes(rows, shingle, radius, tile).select("id", "fp", "label", "component_id")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    tile: int = 16_384,
+) -> DataFrame:
+    """One row of docs for each class of simhash_components: the one with the least id.
+
+    Among rows of a class with that same id (null if the class has null ids only) the one of the
+    least text hash stays, and of repeated rows one.
+    """
+    ident, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    content = F.xxhash64(ident.isNull(), ident, text)
+    rows = docs.select(ident.alias("id"), text.alias("text"), content.alias("content"))
+    linked = _classes(rows, shingle, radius, tile)
+    kept = (
+        linked.where(F.col("id").eqNullSafe(F.col("component_id")))
+        .groupBy("label")
+        .agg(F.min(F.struct("content", "id")).alias("first"))
+        .select("first.content", F.col("first.id").alias("kept_id"))
     )
-    least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = classes.select("fp", "label").join(least, "label")
-    return prints.join(named, "fp").select("id", "fp", "label", "component_id")
+    names = fresh(docs, "content", "kept_id", "copy")
+    kept = kept.toDF(*names[:2])
+    held = docs.withColumn(names[0], content).join(kept, names[0])
+    held = held.where(ident.eqNullSafe(F.col(names[1])))
+    copies = W.partitionBy(names[0]).orderBy(F.lit(0))  # the join's own partitioning
+    return held.withColumn(names[2], F.row_number().over(copies)).where(
+        F.col(names[2]) == 1
+    ).select(*[f"`{c}`" for c in docs.columns])
