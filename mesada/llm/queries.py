@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mesada.llm.common import shared_dir
 from mesada.llm.decontam import contaminated
+from mesada.llm.importance import importance_sample
 from mesada.llm.pii import pii_spans
 from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
 from mesada.llm.simhash import simhash_components
 from mesada.llm.spm import encoding_digests
+from mesada.llm.warc import read_index, read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +38,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    read = read_warc(read_index(spark, folder), folder, payloads=False)
+    return read.select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        "url",
+    )
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans(table(spark, sf_dir, "documents"))
@@ -47,6 +66,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), *names, "base_failed", "kept")
 
 
+@query
+def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
