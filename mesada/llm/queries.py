@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mesada.llm.common import shared_dir
 from mesada.llm.decontam import contaminated
 from mesada.llm.importance import importance_sample
+from mesada.llm.lm import language_scores
 from mesada.llm.pii import pii_spans
 from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
@@ -79,6 +80,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_components(table(spark, sf_dir, "documents"))

@@ -21,6 +21,7 @@ BLANKS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _CODES = np.random.default_rng(20240201).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 LOWER_CODES = _CODES.copy()
 LOWER_CODES[ord("A") : ord("Z") + 1] = _CODES[ord("a") : ord("z") + 1]
+ROWS = 30_000
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -84,11 +85,11 @@ class Words:
 
 
 def blocks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of whole rows with at most ``limit`` bytes, or a single row."""
+    """Runs of whole rows with at most ``limit`` bytes, or a single row; at most ROWS of them."""
     n, first = len(offsets) - 1, 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        last = min(n, max(first + 1, last))
+        last = min(n, first + ROWS, max(first + 1, last))
         yield first, last
         first = last
 
