@@ -18,6 +18,7 @@ from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
 from mesada.llm.simhash import simhash_components
 from mesada.llm.spm import encoding_digests
+from mesada.llm.suffix import kept_digests, repeated_spans
 from mesada.llm.warc import read_index, read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +86,12 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = repeated_spans(table(spark, sf_dir, "documents"))
+    return kept_digests(spans).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_components(table(spark, sf_dir, "documents"))
