@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mesada.llm.common import fresh, map_text
+from mesada.llm.common import checkpointed, fresh, map_text
 from mesada.llm.words import U, mix, words_of
 
 WINDOW = 8
@@ -47,9 +47,8 @@ RULES = {
     "repeats": ("n_repeat_words", "n_words"),
     "capitals": ("n_upper", "n_letters"),
     "marks": ("n_marks", "n_words"),
-    "lines": ("n_dup_lines", "n_words"),
 }
-GRID = tuple(k / 50 for k in range(1, 51))
+GRID = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 
 def _repeated_words(text: str) -> int:
@@ -235,26 +234,17 @@ def verdict(chosen: list[tuple], stratum: Column, m: str) -> Column:
     return ~bad
 
 
-def _judged(docs, labels, id_col, text_col, stratum_col, alpha, delta) -> tuple[DataFrame, list]:
-    """docs with a struct of measures and the verdict, and the names of these two columns."""
-    m, kept = fresh(docs, "measures", "kept")
+_STRUCT = "struct<" + ", ".join(f"{f}: bigint" for f in FIELDS) + ">"
+
+
+def _measured(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
+    """(id, stratum, m) of docs: the measures without the texts."""
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{stratum_col}`").cast("string").alias("stratum"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    field = "struct<" + ", ".join(f"{f}: bigint" for f in FIELDS) + ">"
-    sample = rows.join(
-        labels.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi"
-    )
-    chosen = cutoffs(
-        map_text(sample, "text", measure, f"m {field}", drop_text=True), labels, "m", alpha, delta
-    )
-    stratum = F.col(f"`{stratum_col}`").cast("string")
-    judged = map_text(docs, text_col, measure, f"`{m}` {field}").withColumn(
-        kept, ~base_failed(m) & verdict(chosen, stratum, m)
-    )
-    return judged, [m, kept]
+    return map_text(rows, "text", measure, f"m {_STRUCT}", drop_text=True)
 
 
 def quality_rules(
@@ -263,8 +253,8 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     stratum_col: str = "lang",
-    alpha: float = 0.02,
-    delta: float = 0.05,
+    alpha: float = 0.05,
+    delta: float = 0.1,
 ) -> DataFrame:
     """One row per row of docs: id, stratum, the measures, base_failed, kept.
 
@@ -273,13 +263,14 @@ def quality_rules(
     count nothing; of an id's differing labels the lower counts; a repeated row counts as often
     as it occurs. Without labels only the base decides; an empty table gives an empty result.
     """
-    judged, (m, kept) = _judged(docs, labels, id_col, text_col, stratum_col, alpha, delta)
-    return judged.select(
-        F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{stratum_col}`").alias("stratum"),
-        *[F.col(f"{m}.{f}").alias(f) for f in FIELDS],
-        base_failed(m).alias("base_failed"),
-        F.col(kept).alias("kept"),
+    measured = checkpointed(_measured(docs, id_col, text_col, stratum_col))
+    chosen = cutoffs(measured, labels, "m", alpha, delta)
+    return measured.select(
+        "id",
+        "stratum",
+        "m.*",
+        base_failed("m").alias("base_failed"),
+        (~base_failed("m") & verdict(chosen, F.col("stratum"), "m")).alias("kept"),
     )
 
 
@@ -289,9 +280,14 @@ def keep_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     stratum_col: str = "lang",
-    alpha: float = 0.02,
-    delta: float = 0.05,
+    alpha: float = 0.05,
+    delta: float = 0.1,
 ) -> DataFrame:
     """The rows of docs that quality_rules keeps, with the columns of docs."""
-    judged, (_, kept) = _judged(docs, labels, id_col, text_col, stratum_col, alpha, delta)
-    return judged.where(F.col(kept)).select(*[f"`{c}`" for c in docs.columns])
+    measured = _measured(docs, id_col, text_col, stratum_col)
+    chosen = cutoffs(measured, labels, "m", alpha, delta)
+    (m,) = fresh(docs, "measures")
+    judged = map_text(docs, text_col, measure, f"`{m}` {_STRUCT}")
+    stratum = F.col(f"`{stratum_col}`").cast("string")
+    kept = ~base_failed(m) & verdict(chosen, stratum, m)
+    return judged.where(kept).select(*[f"`{c}`" for c in docs.columns])
