@@ -82,6 +82,8 @@ def longest_walk(spark: SparkSession, n: int, seed: int) -> int:
     Only the cells beyond n, fewer than sqrt(n) + 1 of them, can make a walk go on; all of them
     are walked until the last is back, so the bound is exact.
     """
+    if n < 1:
+        return 0
     rows, cols = grid(n)
     out, steps = checkpointed(spark.range(n, rows * cols).withColumnRenamed("id", "x")), 0
     while out.count():
