@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from mesada.llm import decontam, pii, quality, simhash, spm
 
 
+#: The tokenizer's file; it is read by the driver only.
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -31,4 +35,4 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with their spans, and the decoded text, beside the columns of documents."""
-    return spm.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return spm.encoded(docs, MODEL)
