@@ -6,15 +6,26 @@ the input relations with the Spark side.
 
 from __future__ import annotations
 
-from analogue.relations import DATES, HOLIDAYS, SQL, duck
+from analogue.relations import DATES, HOLIDAYS, LIVE, SQL, duck
+from mesada.sources.schemas import text_columns
 
 
 def ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def rel(*names: str) -> str:
-    return ",\n".join(f"{n} AS ({duck(SQL[n])})" for n in names)
+def rel(*names: str, profile: str = "v1", empty_as_null: bool = True) -> str:
+    """The input relations; '' is NULL in them unless said otherwise, and v2 reads live ones."""
+
+    def one(name: str) -> str:
+        text = duck(LIVE[name] if profile == "v2" and name in LIVE else SQL[name])
+        columns = text_columns(name)
+        if empty_as_null and columns:
+            nulls = ", ".join(f"nullif({c}, '') AS {c}" for c in columns)
+            text = f"SELECT * REPLACE ({nulls}) FROM ({text}) q"
+        return f"{name} AS ({text})"
+
+    return ",\n".join(map(one, names))
 
 
 def dates(sql: str = DATES) -> str:
@@ -147,15 +158,25 @@ plegado AS (SELECT k, string_agg(t, '' ORDER BY rk) AS ranked,
 # -- reports ------------------------------------------------------------------------------
 
 
-def _d(x: str) -> str:
+def _plain_d(x: str) -> str:
     return f"concat('$', {num(x)})"
 
 
+def _older_d(x: str) -> str:
+    return f"('$' || {num(x)})"
+
+
 def _d0(x: str) -> str:
-    return _d(f"coalesce({x}, 0)")
+    return _plain_d(f"coalesce({x}, 0)")
 
 
-def disbursement_detail(profile: str, days: str = DATES) -> str:
+def disbursement_detail(profile: str, days: str = DATES, older: bool = False) -> str:
+    """`older`: '' stays, and a NULL part makes a whole text NULL."""
+    _d = _older_d if older else _plain_d
+    second = "coalesce(cl.Apellido2, '')", "coalesce(cl.Nombre2, '')"
+    parts = "cl.Apellido1", "' '", second[0], "', '", "cl.Nombre1", "' '", second[1]
+    name = " || ".join(parts) if older else f"concat({', '.join(parts)})"
+    none = " ELSE ''" if older else ""
     op = ">" if profile == "v2" else "="
     rule = "anchor" if profile == "draft" else "today"
     if profile == "draft":
@@ -171,11 +192,12 @@ def disbursement_detail(profile: str, days: str = DATES) -> str:
         "fasecolda_ref3_ek", "fasecolda_ref3", "registrogarantiamobiliar",
     )
     return (
-        ctes(rel(*names), HOL, dates(days), calendar(rule), gate(guard=True), sent(op))
+        ctes(rel(*names, profile=profile, empty_as_null=not older), HOL, dates(days),
+             calendar(rule), gate(guard=True), sent(op))
         + f"""SELECT DISTINCT strftime(e.as_of, '%Y-%m-%d') AS as_of, d.Solicitud AS "OP",
   strftime(e.fechaenvio, '%d/%m/%Y') AS "FECHA", d.numeroCredito AS "NUMEROCREDITO",
   coalesce(s.Nombres, replace(substr(cl.NombreConcatenado, 1, 100), 'Cliente : ', ''),
-    upper(concat(cl.Apellido1, ' ', cl.Apellido2, ', ', cl.Nombre1, ' ', cl.Nombre2))) AS "NOMBRE",
+    upper({name})) AS "NOMBRE",
   d.tipoIdentificacion AS "TIPO CC/CE", d.numeroIdentificacion AS "CC/CE",
   {term} AS "PLAZOMESES", CAST(ta.Efectiva AS DOUBLE) AS "INTERES",
   {_d("f.ValorVehiculoFactura")} AS "VLRVEHICULOFACTURA",
@@ -194,7 +216,7 @@ def disbursement_detail(profile: str, days: str = DATES) -> str:
   f.Placa AS "PLACA", f.ChasisFactura AS "CHASIS", f.MotorFactura AS "MOTOR",
   m.Valor AS "MODALIDADPAGOSEGUROVIDA",
   CASE WHEN g.PrimaSegurodeDesempleo > 0 THEN 'Anual' WHEN g.ValorProteccionFinancieraM > 0
-    THEN 'Mensual' END AS "MODALIDADPROTECCIONFINANCIERA", e.corte AS "CORTE DISPERSION"
+    THEN 'Mensual'{none} END AS "MODALIDADPROTECCIONFINANCIERA", e.corte AS "CORTE DISPERSION"
 FROM envio e JOIN desembolso d ON d.Solicitud = e.solicitud AND d.IdDesembolsodetalle = 1
 JOIN originacion og ON og.caso = e.solicitud
 LEFT JOIN originacion_solicitudes s ON s.solicitud = e.solicitud
@@ -241,8 +263,8 @@ def transfer_detail(profile: str, days: str = DATES) -> str:
         "operaciones", "informacionpm", "banco",
     )
     return (
-        ctes(rel(*names), HOL, dates(days), calendar(rule), gate(guard=True), sent(op, types),
-             folded(style))
+        ctes(rel(*names, profile=profile), HOL, dates(days), calendar(rule), gate(guard=True),
+             sent(op, types), folded(style))
         + f"""SELECT DISTINCT strftime(e.as_of, '%Y-%m-%d') AS as_of, e.solicitud AS "SOLICITUD",
   e.razonSocial AS "BENEFICIARIO", e.numeroIdentificacion AS "CC/NIT/CE", b.Nombre AS "BANCO",
   CASE WHEN o.planmayor = 1 AND pm.n IS NOT NULL THEN pm.ranked
@@ -273,7 +295,9 @@ LEFT JOIN plegado pm ON pm.k = f.idDatosFactura"""
     )
 
 
-def disbursement_totals(profile: str, days: str = DATES) -> str:
+def disbursement_totals(profile: str, days: str = DATES, older: bool = False) -> str:
+    _d = _older_d if older else _plain_d
+    blank = "''" if older else "CAST(NULL AS VARCHAR)"
     op, lag, how = (">", 0, "JOIN") if profile == "v2" else ("=", 17, "LEFT JOIN")
     names = (
         "desembolso", "desembolsorelacion", "originacion", "datosfactura", "seguros",
@@ -289,10 +313,11 @@ def disbursement_totals(profile: str, days: str = DATES) -> str:
     }
     cols = ["'Totales' AS c01"]
     for i in range(2, 32):
-        expr, name = slots.get(i, ("CAST(NULL AS VARCHAR)", f"c{i:02d}"))
+        expr, name = slots.get(i, (blank, f"c{i:02d}"))
         cols.append(f"{expr} AS {name}")
     return (
-        ctes(rel(*names), HOL, dates(days), calendar("today"), gate(lag), sent(op, (1,)),
+        ctes(rel(*names, empty_as_null=not older), HOL, dates(days), calendar("today"),
+             gate(lag), sent(op, (1,)),
              f"""t AS (SELECT e.as_of, sum(o.MontoaFinanciarSinSeguros) AS a,
   sum(i.ValorSubvecionado) AS b, sum(g.iValorMantenimiento) AS c,
   sum(f.ValorAccesoriosFactura) AS d, sum(g.BonoAstara) AS e, sum(d.montoDesembolsar) AS f

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,8 @@ from mesada.operators.gate import cutoff_filter, month_gate, type_filter, weekda
 from mesada.operators.lookups import bridge_lookup, lookup
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
-from mesada.operators.scope import MAX_KEYS
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
-from mesada.profiles import PROFILES
+from mesada.profiles import get_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -598,13 +598,18 @@ def _zero_pad(spark, sf_dir):
 @query(
     "sql_functions",
     f"""SELECT c_custkey, lpad({o.money("CAST(c_acctbal AS DECIMAL(18,2))")}, 30, ' ') AS txt,
-  lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS cuotas FROM customer""",
+  lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS cuotas,
+  lpad(concat(CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END,
+    lpad(CAST(abs(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR), 11, '0')), 11, '0') AS saldo
+FROM customer""",
 )
 def _sql_functions(spark, sf_dir):
     create_sql_functions(spark)
     return spark.sql(
         "SELECT c_custkey, formatmoney(CAST(c_acctbal AS DECIMAL(18,2)), 30, '', '', ',', '') AS txt,"
-        " format_number_padded(c_nationkey, '', 3) AS cuotas FROM {customer}",
+        " format_number_padded(c_nationkey, '', 3) AS cuotas,"
+        " format_number_padded(CAST(c_acctbal AS DECIMAL(18,2)), '', 11, 2) AS saldo"
+        " FROM {customer}",
         customer=table(spark, sf_dir, "customer"),
     )
 
@@ -633,6 +638,42 @@ def _display_name(spark, sf_dir):
     return df.select("caso", name.alias("nombre"))
 
 
+@query(
+    "empty_text_inputs",
+    o.ctes(
+        o.rel("originacion", "originacion_solicitudes", "datosfactura", "informacionpm"),
+        o.folded(),
+    )
+    + """SELECT og.caso, s.Nombres AS nombre, coalesce(f.MarcaFactura, s.Marca) AS marca,
+  s.fasecolda, pm.ranked AS cuenta, pm.op1 AS primera
+FROM originacion og LEFT JOIN originacion_solicitudes s ON s.solicitud = og.caso
+LEFT JOIN datosfactura f ON f.idDatosFactura = og.DatosFactura
+LEFT JOIN plegado pm ON pm.k = f.idDatosFactura""",
+)
+def _empty_text_inputs(spark, sf_dir):
+    t = relations(spark, sf_dir)
+    sor = t["originacion_solicitudes"].select("solicitud", "Nombres", "Marca", "fasecolda")
+    df = lookup(t["originacion"].select("caso", "DatosFactura"), sor, "caso", "solicitud", "left")
+    invoice = t["datosfactura"].select("idDatosFactura", "MarcaFactura")
+    df = lookup(df, invoice, "DatosFactura", "idDatosFactura", "left")
+    children = ranked_children(
+        t["informacionpm"], ["DatosFactura"], ["idInformacionPM"],
+        ["Operacionacancelar", "valorcruce"],
+    ).withColumnRenamed("DatosFactura", "pm_factura")
+    df = df.join(children, c("DatosFactura") == c("pm_factura"), "left")
+    first = F.get("children", F.lit(0))
+    return df.select(
+        "caso",
+        c("Nombres").alias("nombre"),
+        F.coalesce("MarcaFactura", "Marca").alias("marca"),
+        "fasecolda",
+        F.when(
+            first.isNotNull(), fold_ranked(c("children"), "Operacionacancelar", "valorcruce")
+        ).alias("cuenta"),
+        first["Operacionacancelar"].alias("primera"),
+    )
+
+
 @query(
     "remarks_channel",
     """WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
@@ -745,12 +786,12 @@ _MONTH_DAYS = [EVENTS_AS_OF, dt.date(2024, 2, 18)]
 
 
 def _month_report(fn, profile):
-    """One reported month, with the requests counted first."""
+    """Two reporting dates whose gates reach one month each."""
 
     def q(spark, sf_dir):
-        t = relations(spark, sf_dir)
+        t = relations(spark, sf_dir, profile)
         cal = report_calendar(spark, _MONTH_DAYS, holidays(spark))
-        return fn(t, cal, profile, max_keys=MAX_KEYS)
+        return fn(t, cal, profile)
 
     return q
 
@@ -769,12 +810,23 @@ for _fn, _sql, _profile in (
 
 def _report(fn, profile):
     def q(spark, sf_dir):
-        rule = PROFILES[profile].holiday_rule
-        return fn(relations(spark, sf_dir), backfill_calendar(spark, sf_dir, rule), profile)
+        p = get_profile(profile)
+        cal = backfill_calendar(spark, sf_dir, p.holiday_rule)
+        return fn(relations(spark, sf_dir, p), cal, p)
 
     return q
 
 
+# The rules of the older origin: '' stays, and a NULL part makes a whole text NULL.
+_OLDER = replace(get_profile("v2"), empty_as_null=False, null_concat=True)
+query("older_disbursement_detail", o.disbursement_detail("v2", older=True))(
+    _report(disbursement_detail, _OLDER)
+)
+query("older_disbursement_totals", o.disbursement_totals("v2", older=True))(
+    _report(disbursement_totals, _OLDER)
+)
+
+
 for _profile in ("v1", "v2", "draft"):
     query(f"disbursement_detail_{_profile}", o.disbursement_detail(_profile))(
         _report(disbursement_detail, _profile)

@@ -22,11 +22,32 @@ RETURN lpad(concat_ws('', prefijo,
   END, sufijo), longitud, ' ')
 """
 
+
+
+def _fixed(d: int) -> str:
+    """`text.fixed_number_text` for d decimals, in SQL."""
+    v = f"round(coalesce(valor, 0), {d})"
+    whole = f"greatest(longitud - {d + 1}, 1)"
+    digits = f"lpad(replace(format_number(abs({v}), {d}), ',', ''), {whole} + {d + 1}, '0')"
+    return (
+        f"lpad(CASE WHEN abs({v}) >= CAST(power(10, {whole}) AS DECIMAL(38,0))"
+        f" THEN repeat('#', longitud)"
+        f" ELSE concat(CASE WHEN {v} < 0 THEN '-' ELSE '' END, {digits}) END, longitud, '0')"
+    )
+
+
+# One branch for each number of decimals the value type holds: ROUND needs a constant.
+FIXED = "CASE decimales " + " ".join(f"WHEN {d} THEN {_fixed(d)}" for d in range(1, 11))
+FIXED += " ELSE raise_error('format_number_padded: at most ten decimals') END"
+
 FORMAT_NUMBER = f"""
 CREATE OR REPLACE TEMPORARY FUNCTION format_number_padded(
-  valor {_VALUE}, mascara STRING DEFAULT NULL, longitud INT DEFAULT 10)
+  valor {_VALUE}, mascara STRING DEFAULT NULL, longitud INT DEFAULT 10,
+  decimales INT DEFAULT 0)
 RETURNS STRING
-RETURN lpad(CAST(CAST(coalesce(valor, 0) AS BIGINT) AS STRING), longitud, '0')
+RETURN CASE WHEN coalesce(decimales, 0) <= 0
+  THEN lpad(CAST(CAST(coalesce(valor, 0) AS BIGINT) AS STRING), longitud, '0')
+  ELSE {FIXED} END
 """
 
 
@@ -34,7 +55,7 @@ def create_sql_functions(spark: SparkSession) -> None:
     """`formatmoney` (F17) and `format_number_padded` (F18) for this session.
 
     The second has another name than the original's format_number, which is a Spark
-    built-in; its path with decimals is `text.fixed_number_text`.
+    built-in; with a fourth parameter it is `text.fixed_number_text` in its right width.
     """
     spark.sql(FORMAT_MONEY)
     spark.sql(FORMAT_NUMBER)

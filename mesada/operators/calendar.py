@@ -35,6 +35,8 @@ NO_HOLIDAY = dt.date(1900, 1, 1)
 def as_of_frame(spark: SparkSession, dates: Iterable[dt.date]) -> DataFrame:
     """The reporting dates, one row each. Stands for a one-row constant relation."""
     rows = ", ".join(f"(DATE '{d:%Y-%m-%d}')" for d in sorted(set(dates)))
+    if not rows:
+        return spark.createDataFrame([], "as_of date")
     return spark.sql(f"SELECT * FROM VALUES {rows} AS dates(as_of)")
 
 
@@ -200,6 +202,8 @@ def report_calendar(
     else:
         dates = set(dates)
         frame = business_calendar(as_of_frame(spark, dates), holidays, rule, strict)
+        if not dates:
+            return ReportCalendar(frame)
         first, last = min(dates), max(dates)
     return ReportCalendar(frame, _previous_month(first), _previous_month(last))
 
@@ -215,9 +219,13 @@ def start_dates(dates: DataFrame, holidays: DataFrame, rule: str = "today") -> D
 
 
 def end_dates(
-    dates: DataFrame, holidays: DataFrame, rule: str = "today", pad: bool = False
+    dates: DataFrame, holidays: DataFrame, rule: str = "today", pad: bool = True
 ) -> DataFrame:
-    """C13 (rules "today", "anchor") and C15 ("two_step"): end date text per `as_of`."""
+    """C13 (rules "today", "anchor") and C15 ("two_step"): end date text per `as_of`.
+
+    The two-step form also gives the month name, padded to ten characters as its mask does;
+    `pad=False` strips it.
+    """
     if rule == "two_step":
         df = last_business_day_two_step(dates.select("as_of").distinct(), holidays, "d")
         return df.select(

@@ -56,9 +56,8 @@ def month_gate(
 ) -> DataFrame:
     """L1-L3 and, with `cutoff_op`, L6/L7: fact rows of the reported months, with `as_of`.
 
-    Adds `as_of`, and `corte` with `cutoff_op`. The open calendar rows are broadcast: they
-    number at most a few per calendar month, so the date range itself bounds them. Facts
-    stored by month (`month_col`, a date) are pruned to the partitions asked for.
+    Adds `as_of`, and `corte` with `cutoff_op`. The open calendar rows are not hinted: Spark
+    measures them, and broadcasts them as long as they are small. Facts stored by month (`month_col`, a date) are pruned to the partitions asked for.
     """
     frame = weekday_guard(cal.frame) if guard else cal.frame
     gate = open_months(frame, lag_days)
@@ -75,7 +74,7 @@ def month_gate(
     if cutoff_op:
         df = df.withColumn("corte", cutoff_label(F.col(ts_col)))
         on = on & cutoff_matches(F.col("corte"), F.col("corte_base"), cutoff_op)
-    return df.join(F.broadcast(gate), on).drop("mes", "corte_base")
+    return df.join(gate, on).drop("mes", "corte_base")
 
 
 def type_filter(col: Column, types: Sequence[int]) -> Column:

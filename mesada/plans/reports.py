@@ -4,9 +4,9 @@ Shape shared by all of them: cut the facts down to the reported months and batch
 drop or count equal rows before they are joined, join each request's lookups once, and
 attach them to the facts. Each result carries `as_of` unless `with_as_of` is False.
 
-`max_keys` (scope.MAX_KEYS is a good value) suits reports on one or few months: it counts
-the sent requests first and, if there are at most so many, cuts every large lookup table at
-its scan instead of shuffling it. Without it nothing runs before the result is asked for.
+No job runs before the result is asked for. Reports on few months leave most of each lookup
+table unread if the tables are stored by key (`sources.writers.write_by_key`): then only the
+sent requests are shuffled, whatever their number.
 """
 
 from __future__ import annotations
@@ -43,7 +43,6 @@ from mesada.operators.gate import month_gate, type_filter
 from mesada.operators.lookups import SPREAD, bridge_lookup, lookup, with_spread
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import account_number, fold_fixed, fold_ranked, ranked_children
-from mesada.operators.scope import scope
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.profiles import Profile, get_profile
 
@@ -93,7 +92,7 @@ def _case_keys(t: Tables, *extra: str) -> DataFrame:
 
 def disbursement_detail(
     t: Tables, cal: ReportCalendar, profile: Profile | str = "v1", with_as_of: bool = True,
-    ordered: bool = True, month_col: str | None = None, max_keys: int | None = None,
+    ordered: bool = True, month_col: str | None = None,
 ) -> DataFrame:
     """One row per distinct disbursement line of the reported batches.
 
@@ -126,23 +125,18 @@ def disbursement_detail(
         c("Modelo").alias("sor_modelo"),
         c("fasecolda").alias("sor_fasecolda"),
     )
-    s = scope(cases, sent.select("solicitud"), max_keys)
-
-    def by_case(df, table, case_column, key, how="inner"):
-        return lookup(df, s.by_case(table, key, case_column), case_column, key, how)
-
     # J2, J3 share the request key.
-    df = lookup(sent, s.cases, "solicitud", "caso")
-    df = lookup(df, s.by_request(sor, "sor_id"), "solicitud", "sor_id", "left")
+    df = lookup(sent, cases, "solicitud", "caso")
+    df = lookup(df, sor, "solicitud", "sor_id", "left")
     # J4-J8
-    df = by_case(df, t["datosfactura"], "ori_DatosFactura", "idDatosFactura")
-    df = by_case(df, t["seguros"], "ori_Seguros", "idSeguros")
-    df = by_case(df, t["informacionestudio"], "ori_InformaciondeEstudio", "idInformacionestudio")
+    df = lookup(df, t["datosfactura"], "ori_DatosFactura", "idDatosFactura")
+    df = lookup(df, t["seguros"], "ori_Seguros", "idSeguros")
+    df = lookup(df, t["informacionestudio"], "ori_InformaciondeEstudio", "idInformacionestudio")
     ope = t["operaciones"].select(
         "idOperaciones", "MontoaFinanciarSinSeguros", "GMF", "DiadePago", c("rgm").alias("ope_rgm")
     )
-    df = by_case(df, ope, "ori_Operaciones", "idOperaciones")
-    df = by_case(df, t["planfinanciacion"], "ori_PlanFinanciacion", "idPlanFinanciacion")
+    df = lookup(df, ope, "ori_Operaciones", "idOperaciones")
+    df = lookup(df, t["planfinanciacion"], "ori_PlanFinanciacion", "idPlanFinanciacion")
     # J9, J10
     rates = t["tasas"].select(c("id1").alias("tas_id"), "Efectiva")
     df = bridge_lookup(df, t["tasas_ek"], rates, "Tasa", "idTasas", "id1", "tas_id")
@@ -152,9 +146,9 @@ def disbursement_detail(
         df, t["modalidadpagosegurovida"], "ModalidadPagoseguroVida", "idModalidadPagoSegurovida",
         "left",
     )
-    df = by_case(df, t["cliente"], "ori_Cliente", "idCliente", "left")
+    df = lookup(df, t["cliente"], "ori_Cliente", "idCliente", "left")
     vehicles = t["vehiculo"].select("idVehiculo", c("FASECOLDA").alias("veh_fasecolda"))
-    df = by_case(df, vehicles, "ori_Vehiculo", "idVehiculo", "left")
+    df = lookup(df, vehicles, "ori_Vehiculo", "idVehiculo", "left")
     # J15, J16
     codes = t["fasecolda_ref3"].select(
         c("id1").alias("fas_id"), c("fasecolda").alias("fas_fasecolda")
@@ -170,7 +164,7 @@ def disbursement_detail(
 
     # The type of the disbursement row decides here (Q7).
     lines = (
-        s.by_request(t["desembolso"], "Solicitud")
+        t["desembolso"]
         .filter(type_filter(c("IdDesembolsodetalle"), p.disbursement_types))
         .drop("IdDesembolsodetalle")
         .withColumnRenamed("Solicitud", "op")
@@ -234,7 +228,7 @@ def disbursement_detail(
 
 def transfer_detail(
     t: Tables, cal: ReportCalendar, profile: Profile | str = "v1", with_as_of: bool = True,
-    ordered: bool = True, month_col: str | None = None, max_keys: int | None = None,
+    ordered: bool = True, month_col: str | None = None,
 ) -> DataFrame:
     """One row per distinct money transfer of the reported batches.
 
@@ -262,29 +256,19 @@ def transfer_detail(
 
     keys = gated(["solicitud", "fechaenvio"]).select(c("solicitud").alias("key")).distinct()
     cases = _case_keys(t, "DatosFactura", "Seguros", "InformaciondeEstudio", "Operaciones")
-    s = scope(cases, keys, max_keys)
-    req = s.cases
-    if s.requests is None:
-        req = req.join(keys, c("caso") == c("key"), "left_semi")
+    req = cases.join(keys, c("caso") == c("key"), "left_semi")
     ope = t["operaciones"].drop("MontoaFinanciarSinSeguros", "GMF", "DiadePago", "rgm")
-    invoice = s.by_case(
-        t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura"),
-        "idDatosFactura", "ori_DatosFactura",
-    )
+    invoice = t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura")
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
     insurance = t["seguros"].select("idSeguros", "BonoAstara", "bMantenimientoPrepagado")
     # Children hang on the invoice row, so a request without one has none.
-    children = s.by_case(t["informacionpm"], "DatosFactura", "ori_DatosFactura")
     children = ranked_children(
-        children, ["DatosFactura"], ["idInformacionPM"],
+        t["informacionpm"], ["DatosFactura"], ["idInformacionPM"],
         ["idInformacionPM", "Operacionacancelar", "valorcruce"],
     ).withColumnRenamed("DatosFactura", "pm_factura")
     invoice = lookup(invoice, children, "idDatosFactura", "pm_factura", "left")
 
-    def by_case(df, table, case_column, key):
-        return lookup(df, s.by_case(table, key, case_column), case_column, key, "left")
-
-    req = by_case(req, ope, "ori_Operaciones", "idOperaciones")
+    req = lookup(req, ope, "ori_Operaciones", "idOperaciones", "left")
     # Folded here, so that one text travels on instead of six columns.
     fixed = fold_fixed(
         [c("OperacionCancelarPM"), c("OperacionaCancelarPM2"), c("OperacionaCancelarPM3")],
@@ -292,8 +276,8 @@ def transfer_detail(
         p.money_style, nc,
     )
     req = req.select(*cases.columns, "planmayor", fixed.alias("fixed"))
-    req = by_case(req, study, "ori_InformaciondeEstudio", "idInformacionestudio")
-    req = by_case(req, insurance, "ori_Seguros", "idSeguros")
+    req = lookup(req, study, "ori_InformaciondeEstudio", "idInformacionestudio", "left")
+    req = lookup(req, insurance, "ori_Seguros", "idSeguros", "left")
     # The invoice rows are already laid out by their number, and a join on that alone could
     # not be split. The second key scatters requests without an invoice and gives the join
     # two shuffled sides, so that many requests on one invoice can be split as well.
@@ -348,8 +332,16 @@ def _opt(name: str | None) -> list[str]:
     return [name] if name else []
 
 
-def _lines_per_request(lines: DataFrame) -> DataFrame:
-    """Disbursement rows counted per request: totals need no row-by-row join (Q8)."""
+def _lines_per_request(lines: DataFrame, sent: DataFrame) -> DataFrame:
+    """Disbursement rows of sent requests, counted: totals need no row-by-row join (Q8).
+
+    The semi join is on the key of the grouping, so one shuffle of the lines serves both, and
+    lines of requests that were not sent are neither grouped nor moved on. A hot request's
+    lines are counted before that shuffle only by a join that Spark broadcasts; else Spark
+    splits the join.
+    """
+    asked = sent.select(F.col("solicitud").alias("asked")).distinct()
+    lines = lines.join(asked, F.col("Solicitud") == F.col("asked"), "left_semi")
     return lines.groupBy(F.col("Solicitud").alias("dsm_id")).agg(
         F.count("*").alias("dsm_n"), F.sum("montoDesembolsar").alias("dsm_monto")
     )
@@ -357,7 +349,7 @@ def _lines_per_request(lines: DataFrame) -> DataFrame:
 
 def disbursement_totals(
     t: Tables, cal: ReportCalendar, profile: Profile | str = "v1", with_as_of: bool = True,
-    month_col: str | None = None, max_keys: int | None = None,
+    month_col: str | None = None,
 ) -> DataFrame:
     """Sums over every pairing of disbursement, sending and request.
 
@@ -380,9 +372,8 @@ def disbursement_totals(
         .agg(F.count("*").alias("dre_n"))
     )
     cases = _case_keys(t, "DatosFactura", "Seguros", "InformaciondeEstudio", "Operaciones")
-    s = scope(cases, sent.select("solicitud"), max_keys)
-    df = lookup(sent, s.cases, "solicitud", "caso")
-    lines = _lines_per_request(s.by_request(t["desembolso"], "Solicitud"))
+    df = lookup(sent, cases, "solicitud", "caso")
+    lines = _lines_per_request(t["desembolso"], sent)
     df = lookup(df, lines, "solicitud", "dsm_id")
     invoice = t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura")
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
@@ -394,7 +385,7 @@ def disbursement_totals(
         (ope, "ori_Operaciones", "idOperaciones", "inner"),
         (insurance, "ori_Seguros", "idSeguros", p.totals_insurance_join),
     ):
-        df = lookup(df, s.by_case(table, key, case_column), case_column, key, how)
+        df = lookup(df, table, case_column, key, how)
 
     pairs = c("dre_n") * c("dsm_n")
     sums = totals_per_date(
@@ -442,7 +433,8 @@ def transfer_totals(
         .groupBy("as_of", "solicitud")
         .agg(weighted_sum(F.abs(c("montoDesembolsar"))).alias("sent"))
     )
-    df = lookup(sent, _lines_per_request(t["desembolso"]), "solicitud", "dsm_id")
+    lines = _lines_per_request(t["desembolso"], sent)
+    df = lookup(sent, lines, "solicitud", "dsm_id")
     sums = totals_per_date(df, cal.frame, {"total": weighted_sum(c("sent"), c("dsm_n"))}, {})
     out = sums.select("as_of", dollar(num_text(c("total"))).alias("VLRGIRAR"))
     layout = _layout(TRANSFER_TOTALS, TRANSFER_TOTALS_WIDTH)
@@ -459,7 +451,7 @@ def start_date_report(
 
 def end_date_report(
     dates: DataFrame, holidays: DataFrame, rule: str = "today", with_as_of: bool = True,
-    pad: bool = False,
+    pad: bool = True,
 ) -> DataFrame:
     """R10 (rule "today"), R14 (rule "two_step")."""
     df = end_dates(dates, holidays, rule, pad)

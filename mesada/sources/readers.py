@@ -9,12 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mesada.profiles import Profile, get_profile
-from mesada.sources.schemas import RELATIONS, ddl_of, schema_of
+from mesada.sources.schemas import RELATIONS, ddl_of, schema_of, text_columns
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast a relation's columns to its schema; names match in any case."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema_of(name)])
+def conform(df: DataFrame, name: str, empty_as_null: bool = False) -> DataFrame:
+    """Select and cast a relation's columns to its schema; names match in any case.
+
+    With `empty_as_null` an empty text is NULL (E1), so that rules which test for NULL see
+    what a database without empty texts would show them.
+    """
+
+    texts = text_columns(name) if empty_as_null else ()
+
+    def column(f):
+        col = F.col(f.name).cast(f.dataType)
+        return (F.nullif(col, F.lit("")) if f.name in texts else col).alias(f.name)
+
+    return df.select(*[column(f) for f in schema_of(name)])
 
 
 @dataclass(frozen=True)
@@ -39,21 +50,31 @@ class CatalogSource:
         return spark.table(f"{self.schema}.{name}")
 
 
+# Code lists, whose size does not follow the business.
+SMALL_RELATIONS = ("banco", "diadepago", "diasfestivos", "modalidadpagosegurovida")
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Tables of a remote database, read in parallel ranges of a numeric key.
 
-    `ranges` gives (column, lower, upper, partitions) per large table; a table without
-    one is read by a single task and should be small. Bounds only place the splits: rows
-    outside them are read too, by the first and last task.
+    `ranges` gives (column, lower, upper, partitions) per table. Tables named in `small`
+    are read by a single task; any other without a range is refused. Bounds only place the
+    splits: rows outside them are read too, by the first and last task.
     """
 
     url: str
     schema: str
     properties: Mapping[str, str] = field(default_factory=dict, hash=False)
     ranges: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict, hash=False)
+    small: tuple[str, ...] = SMALL_RELATIONS
 
     def options(self, name: str) -> dict[str, str]:
+        if name not in self.ranges and name not in self.small:
+            raise ValueError(
+                f"{name}: give `ranges` for it, or name it in `small`; "
+                "without a range one task would read the whole table"
+            )
         out = {
             "url": self.url,
             "dbtable": f"{self.schema}.{name}",
@@ -79,12 +100,14 @@ class JdbcSource:
 Source = FileSource | CatalogSource | JdbcSource
 
 
-def read_table(spark: SparkSession, name: str, source: Source) -> DataFrame:
-    """One relation with its fixed schema.
+def read_table(
+    spark: SparkSession, name: str, source: Source, empty_as_null: bool = False
+) -> DataFrame:
+    """One relation with its fixed schema; see `conform` for `empty_as_null`.
 
     The casts sit above the scan, so Spark still prunes columns there.
     """
-    return conform(source.read(spark, name), name)
+    return conform(source.read(spark, name), name, empty_as_null)
 
 
 def read_holidays(spark: SparkSession, source: Source) -> DataFrame:
@@ -116,6 +139,13 @@ def open_relations(
     spark: SparkSession, sources: Mapping[str, Source], profile: Profile | str = "v1",
     default: str = "snapshot",
 ) -> Relations:
-    """S3: `sources` maps source names to readers; the profile picks one per relation."""
-    chosen = get_profile(profile).sources
-    return Relations(lambda name: read_table(spark, name, sources[chosen.get(name, default)]))
+    """`sources` maps source names to readers; the profile picks one per relation.
+
+    Where the profile reports '' as NULL, empty texts are read as NULL as well.
+    """
+    p = get_profile(profile)
+    return Relations(
+        lambda name: read_table(
+            spark, name, sources[p.sources.get(name, default)], p.empty_as_null
+        )
+    )

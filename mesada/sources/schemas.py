@@ -72,5 +72,11 @@ def ddl_of(name: str) -> str:
     return _DDL[name]
 
 
+def text_columns(name: str) -> list[str]:
+    """Names of a relation's string columns."""
+    columns = (c.split(" ") for c in _DDL[name].split(", "))
+    return [column for column, kind in columns if kind == "string"]
+
+
 def schema_of(name: str) -> StructType:
     return StructType.fromDDL(_DDL[name])

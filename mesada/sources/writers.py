@@ -1,4 +1,4 @@
-"""Report files by column position, and fact tables stored by month."""
+"""Report files, fact tables stored by month and lookups stored by key."""
 
 from __future__ import annotations
 
@@ -31,6 +31,21 @@ def write_report(
     )
 
 
+def write_by_key(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
+    """Store a lookup table in the catalog by its key, in `buckets` sorted buckets.
+
+    A join on that key then leaves the table where it is and shuffles only the other side
+    (read it through `CatalogSource`). Choose buckets of about the size of a task's input.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode(mode)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table, format="parquet")
+    )
+
+
 def write_by_month(df: DataFrame, path: str, ts_col: str, mode: str = "errorifexists") -> None:
     """Store facts by month of `ts_col`, so that a month gate reads only its months.
 

@@ -19,7 +19,8 @@ from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import month_gate
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import ranked_children
-from mesada.sources.writers import MONTH_COLUMN, write_by_month
+from mesada.sources.readers import conform
+from mesada.sources.writers import MONTH_COLUMN, write_by_key, write_by_month
 
 AS_OF = dt.date(2024, 2, 1)
 
@@ -106,21 +107,49 @@ def test_reports_stay_out_of_python(spark, holidays):
     assert len(re.findall(r" Window \[", text)) == 1
 
 
-def test_counted_keys_cut_tables_at_the_scan(spark, holidays, monkeypatch, stored):
-    # Without size estimates every lookup table would be shuffled.
-    monkeypatch.setattr("mesada.operators.scope.tempfile.mkdtemp", lambda **k: str(stored / "ck"))
+BUCKETED = {
+    "datosfactura": "idDatosFactura",
+    "operaciones": "idOperaciones",
+    "seguros": "idSeguros",
+    "informacionestudio": "idInformacionestudio",
+}
+
+
+def test_lookups_stored_by_key_are_not_shuffled(spark, holidays, tmp_path):
     t = relations(spark, rows(children=[(1, 101, "81A", 5)]))
-    t = {n: t[n].repartition(2) for n in t}
+    spark.sql(f"CREATE DATABASE por_clave LOCATION '{tmp_path}'")
+    for name, key in BUCKETED.items():
+        write_by_key(t[name], f"por_clave.{name}", key, 4)
+    held = {n: conform(spark.table(f"por_clave.{n}"), n, True) for n in BUCKETED}
+    cal = report_calendar(spark, [AS_OF], holidays)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(disbursement_detail({**t, **held}, cal, "v1"), "simple")
+        plain = plan(disbursement_detail(t, cal, "v1"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # The other side of each of these joins is shuffled, the stored table is not.
+    assert text.count("Exchange hashpartitioning") == plain.count("Exchange hashpartitioning") - 4
+    result = sorted(map(str, disbursement_detail({**t, **held}, cal, "v1").collect()))
+    assert result == sorted(map(str, disbursement_detail(t, cal, "v1").collect()))
+    spark.sql("DROP DATABASE por_clave CASCADE")
+
+
+def test_totals_cut_lines_below_the_grouping(spark, holidays):
+    t = relations(spark, rows())
     cal = report_calendar(spark, [AS_OF], holidays)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(transfer_detail(t, cal, "v1", max_keys=1000), "simple")
+        texts = [plan(f(t, cal, "v1"), "simple") for f in (disbursement_totals, transfer_totals)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # operations, study, insurance, invoice, children
-    assert len(re.findall(r"BroadcastHashJoin .*LeftSemi", text)) == 5
-    assert "SortMergeJoin" in text
+    for text in texts:
+        lines = text.splitlines()
+        (semi,) = [k for k, line in enumerate(lines) if "LeftSemi" in line]
+        group = max(k for k in range(semi) if "HashAggregate(keys=[Solicitud" in lines[k])
+        assert not any("Exchange" in line for line in lines[group:semi])
 
 
 SKEW = {

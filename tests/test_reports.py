@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 from report_fixture import relations, rows
 
 from mesada import (
@@ -13,6 +14,7 @@ from mesada import (
     transfer_totals,
 )
 from mesada.plans.reports import DISBURSEMENT_COLUMNS, TRANSFER_COLUMNS
+from mesada.sources.readers import FileSource, open_relations
 
 AS_OF = dt.date(2024, 2, 1)
 
@@ -194,18 +196,41 @@ def test_many_dates_equal_single_dates(spark, holidays):
                 assert sorted(map(str, one)) == sorted(str(r) for r in many if r["as_of"] == d)
 
 
-@pytest.mark.parametrize("max_keys", [1000, 2, 1])
-def test_counted_keys_change_nothing(spark, holidays, max_keys):
-    # With room for all keys, too little for the cases, too little for the requests.
-    again = (101, "2024-01-02 08:50", 1, 1, "30000000")
-    children = [(7, 101, "98B", D(50)), (3, 101, "81A", D(-100)), (4, 999, "75", D(1))]
-    data = rows(extra_sendings=[again], plan=PLAN, children=children)
-    data["originacion"].append((101, 105, 101, 101, 105, 1, 101, 101))
+def test_no_job_runs_while_reports_are_built(spark, holidays, t):
+    c = cal(spark, holidays, AS_OF)
+    spark.sparkContext.setJobGroup("build", "")
+    try:
+        for report in (disbursement_detail, transfer_detail, disbursement_totals, transfer_totals):
+            for profile in ("v1", "v2"):
+                report(t, c, profile)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_dates_give_no_rows(spark, holidays, t):
+    c = report_calendar(spark, [], holidays)
+    assert c.frame.count() == 0 and c.first_month is None
+    assert disbursement_detail(t, c, "v1").count() == transfer_detail(t, c, "v2").count() == 0
+
+
+def test_empty_texts_are_read_as_null(spark, holidays, tmp_path):
+    data = rows(plan=PLAN, children=[(1, 101, "81A", 5), (2, 101, "", 0)])
     t = relations(spark, data)
-    c = cal(spark, holidays, AS_OF, dt.date(2024, 2, 18))
-    for report in (disbursement_detail, transfer_detail, disbursement_totals):
-        plain = sorted(map(str, report(t, c, "v1").collect()))
-        assert plain == sorted(map(str, report(t, c, "v1", max_keys=max_keys).collect()))
+    for name in t:
+        if name == "originacion_solicitudes":
+            empty = F.lit("")
+            blank = t[name].withColumns({"Nombres": empty, "fasecolda": empty, "Marca": empty})
+            blank.write.parquet(f"{tmp_path}/{name}")
+        else:
+            t[name].write.parquet(f"{tmp_path}/{name}")
+    sources = {"snapshot": FileSource(str(tmp_path)), "live": FileSource(str(tmp_path))}
+    opened = open_relations(spark, sources, "v1")
+    c = cal(spark, holidays, AS_OF)
+    (row,) = disbursement_detail(opened, c, "v1").collect()
+    assert row["NOMBRE"] and row["NOMBRE"] != "" and row["FASECOLDA"] != ""
+    transfers = {r["SOLICITUD"]: r for r in transfer_detail(opened, c, "v1").collect()}
+    assert transfers[101]["NUMEROCUENTA"] == "81A - $5,00  "
 
 
 def test_dates_as_dataframe(spark, holidays, t):

@@ -88,6 +88,8 @@ def test_jdbc_options():
     )
     assert opts["numPartitions"] == "64"
     assert "numPartitions" not in src.options("banco")
+    with pytest.raises(ValueError, match="operaciones: give `ranges`"):
+        src.options("operaciones")
     assert src.options("banco")["customSchema"] == "Id int, Nombre string"
 
 

@@ -202,10 +202,13 @@ def test_sql_functions(spark):
     row = spark.sql("""
       select formatmoney(-1234.5, 30, '', '', ',', ''), formatmoney(null),
         formatmoney(1234567.5, 15, '$', '', ',', '.'), format_number_padded(48, '', 3),
-        replace(formatmoney(2.345), ' ', ''), formatmoney(1e15, 23)
+        replace(formatmoney(2.345), ' ', ''), formatmoney(1e15, 23),
+        format_number_padded(-3.14159, '', 9, 2), format_number_padded(99999.5, '', 6, 2),
+        format_number_padded(null, '', 6, 2), format_number_padded(48, '', 3, 0)
     """).first()
     assert tuple(row) == (
         "-1234,50".rjust(30), "0,00".rjust(30), "  $1.234.567,50", "048", "2,35", "#" * 23,
+        "-000003.1", "######", "000.00", "048",
     )
     plan = spark.sql("select formatmoney(id) from range(3)")._jdf.queryExecution().toString()
     assert "Python" not in plan
