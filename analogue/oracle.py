@@ -191,6 +191,7 @@ def disbursement_detail(profile: str, days: str = DATES, older: bool = False) ->
         "tasas_ek", "tasas", "diadepago", "modalidadpagosegurovida", "cliente", "vehiculo",
         "fasecolda_ref3_ek", "fasecolda_ref3", "registrogarantiamobiliar",
     )
+    # Output columns, key pairs and branch texts of the report.
     return (
         ctes(rel(*names, profile=profile, empty_as_null=not older), HOL, dates(days),
              calendar(rule), gate(guard=True), sent(op))
@@ -262,6 +263,7 @@ def transfer_detail(profile: str, days: str = DATES) -> str:
         "desembolsorelacion", "originacion", "datosfactura", "seguros", "informacionestudio",
         "operaciones", "informacionpm", "banco",
     )
+    # Output columns, key pairs and branch texts of the report.
     return (
         ctes(rel(*names, profile=profile), HOL, dates(days), calendar(rule), gate(guard=True),
              sent(op, types), folded(style))

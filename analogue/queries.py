@@ -139,6 +139,7 @@ def _end_date(spark, sf_dir):
     return end_date_report(order_dates(spark, sf_dir), holidays(spark))
 
 
+# Month names as printed.
 _MONTHS = (
     "['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre',"
     "'Octubre','Noviembre','Diciembre']"
