@@ -55,6 +55,22 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The digits of base32.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLE["op2_warc"] = f"""WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, url, html, sha1(html) AS h FROM p),
+k AS (SELECT html, max(page_id) AS original FROM p GROUP BY html)
+SELECT d.page_id, CAST(strlen(d.html) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('{_BASE32}',
+    1 + ((CAST('0x' || substr(h, CAST(1 + (i // 4) * 5 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))::INT) & 31), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN d.page_id = k.original OR k.original IS NULL THEN 'response' ELSE 'revisit' END
+    AS record_type,
+  CASE WHEN d.page_id <> k.original THEN k.original END AS refers_to, d.url
+FROM d JOIN k ON k.html = d.html"""
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans(table(spark, sf_dir, "documents"))
