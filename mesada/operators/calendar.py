@@ -219,12 +219,12 @@ def start_dates(dates: DataFrame, holidays: DataFrame, rule: str = "today") -> D
 
 
 def end_dates(
-    dates: DataFrame, holidays: DataFrame, rule: str = "today", pad: bool = True
+    dates: DataFrame, holidays: DataFrame, rule: str = "today", pad: bool = False
 ) -> DataFrame:
     """C13 (rules "today", "anchor") and C15 ("two_step"): end date text per `as_of`.
 
-    The two-step form also gives the month name, padded to ten characters as its mask does;
-    `pad=False` strips it.
+    The two-step form also gives the month name, plain as in the older origin; the later
+    text's mask pads it to ten characters, which `pad=True` does.
     """
     if rule == "two_step":
         df = last_business_day_two_step(dates.select("as_of").distinct(), holidays, "d")

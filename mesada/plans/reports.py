@@ -451,7 +451,7 @@ def start_date_report(
 
 def end_date_report(
     dates: DataFrame, holidays: DataFrame, rule: str = "today", with_as_of: bool = True,
-    pad: bool = True,
+    pad: bool = False,
 ) -> DataFrame:
     """R10 (rule "today"), R14 (rule "two_step")."""
     df = end_dates(dates, holidays, rule, pad)
