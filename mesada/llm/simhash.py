@@ -168,7 +168,9 @@ def _classes(rows: DataFrame, shingle: int, radius: int, tile: int) -> DataFrame
             "fp", "least_id", F.coalesce("label", "fp").alias("label")
         )
     )
-    least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    # Written, so that both sides of the join by label are shuffled and Spark can split a
+    # class of very many fingerprints.
+    least = checkpointed(classes.groupBy("label").agg(F.min("least_id").alias("component_id")))
     named = classes.select("fp", "label").join(least, "label")
     return prints.join(named, "fp")
 
