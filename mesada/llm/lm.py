@@ -29,7 +29,7 @@ from mesada.llm.trie import PairTrie
 from mesada.llm.words import U, mix, words_of
 
 HEAVY = 1_024
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 5 << 20
 END = U(0x5EED0E0D5EED0E0D)
 CONTEXT = U((1 << 48) - 1)
 
@@ -260,7 +260,8 @@ def language_scores(
     result.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A shard's pairs are held as arrays: half a shuffle partition each.
+    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = id_and_text(docs, id_col, text_col)
     rows = rows.select("id", held_out(F.col("id")).alias("held"), "text")
     kind = dict(rows.dtypes)["id"]
