@@ -180,7 +180,7 @@ def _split(batches: Iterator[pa.RecordBatch], shards: int, heavy: np.ndarray):
             none = pa.nulls(rows, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(rows, number % shards), pa.int32()),
+                    pa.array((np.arange(rows) + number) % shards, pa.int32()),
                     pa.array(np.full(rows, number)),
                     pa.array(np.arange(rows), pa.int32()),
                     batch.column(0)[here],
