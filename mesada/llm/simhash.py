@@ -86,21 +86,47 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = up
 
 
+def _half_counts(fps: np.ndarray) -> np.ndarray:
+    """Bits set in the lower half."""
+    return np.bitwise_count(fps & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple:
-    """A spanning forest, as two arrays of ends, of the links of a tile with itself or another."""
-    n = len(left)
-    nodes = left if right is None else np.concatenate([left, right])
-    other, shift = (left, 0) if right is None else (right, n)
+    """A spanning forest, as two arrays of ends, of the links of a tile with itself or another.
+
+    Rows are ordered by the bits set in their lower half. If d is how many more bits a has than
+    b, then a and b can only be linked if a's lower half has between (d - radius) / 2 and
+    (d + radius) / 2 more than b's: the halves' differences add up to the radius at most. So
+    each run of rows meets one stretch of the other tile.
+    """
+    left = left[np.argsort(_half_counts(left), kind="stable")]
+    if right is None:
+        nodes, other, shift = left, left, 0
+    else:
+        other = right[np.argsort(_half_counts(right), kind="stable")]
+        nodes, shift = np.concatenate([left, other]), len(left)
     labels = np.arange(len(nodes))
-    rows = max(1, (1 << 21) // max(1, len(other)))
-    for k in range(0, n, rows):
-        from_col = k if right is None else 0
-        near = np.bitwise_count(left[k : k + rows, None] ^ other[None, from_col:]) <= radius
+    if not len(left) or not len(other):
+        return nodes[:0], nodes[:0]
+    mine, theirs = _half_counts(left), _half_counts(other)
+    bits, more = (np.bitwise_count(x).astype(np.int64) for x in (left, other))
+    least, most = int(bits.min() - more.max()), int(bits.max() - more.min())
+    k = 0
+    while k < len(left):
+        group = int(np.searchsorted(mine, mine[k], "right"))
+        first = int(np.searchsorted(theirs, mine[k] - (most + radius) // 2, "left"))
+        last = int(np.searchsorted(theirs, mine[k] + (radius - least) // 2, "right"))
+        if right is None:
+            first = max(first, k)
+        rows = max(1, (1 << 21) // max(1, last - first))
+        end = min(group, k + rows)
+        near = np.bitwise_count(left[k:end, None] ^ other[None, first:last]) <= radius
         a, b = np.nonzero(near)
-        a, b = a + k, b + from_col
+        a, b = a + k, b + first
         if right is None:
             a, b = a[a < b], b[a < b]
         _merge(labels, a, b + shift)
+        k = end
     linked = np.flatnonzero(labels != np.arange(len(nodes)))
     return nodes[linked], nodes[labels[linked]]
 
