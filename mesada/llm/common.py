@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mesada.llm.words import blocks, text_bytes
+
+AT_ONCE = 8 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a fresh one only where unset."""
@@ -48,19 +52,23 @@ def map_text(
     """df with new columns: work gets a batch's texts (null as empty) and returns their values.
 
     ``fields`` is a DDL list of the new columns; the caller keeps them apart from df's columns.
+    A batch is worked on in runs of whole texts of at most AT_ONCE bytes, or a single text.
     """
     new = T.StructType.fromDDL(fields)
     kept = [f for f in df.schema.fields if not (drop_text and f.name == text_col)]
     names = [f.name for f in kept] + new.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
-            made = work(pc.fill_null(texts, ""))
-            held = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
-            yield pa.RecordBatch.from_arrays(
-                held + [a if isinstance(a, pa.Array) else pa.array(a) for a in made], names=names
-            )
+        for whole in batches:
+            column = pc.fill_null(whole.column(whole.schema.get_field_index(text_col)), "")
+            for first, last in blocks(text_bytes(column)[1], AT_ONCE):
+                batch = whole.slice(first, last - first)
+                made = work(column.slice(first, last - first))
+                held = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+                yield pa.RecordBatch.from_arrays(
+                    held + [a if isinstance(a, pa.Array) else pa.array(a) for a in made],
+                    names=names,
+                )
 
     return df.mapInArrow(run, T.StructType([*kept, *new.fields]))
 
