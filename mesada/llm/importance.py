@@ -1,9 +1,11 @@
 """Data selection by importance resampling over hashed n-grams.
 
-Two generative models, bags of hashed words and word pairs, are counted: one of the target texts
-(labelled good and not toxic), one of all texts. A text's log importance weight is the mean log
-ratio of the two models over its n-grams, times ``scale``: every text counts as if it had
-``scale`` n-grams, so that length decides nothing. Gumbel noise made from the id is added, and
+Two generative models, bags of hashed words and, apart from them, of word pairs, are counted: one
+of the target texts (labelled good and not toxic), one of all texts. A text's log importance
+weight is the mean log ratio of the two models over its n-grams, times ``scale``: every text
+counts as if it had ``scale`` n-grams, so that length decides nothing. A pair weighs
+``PAIR_WEIGHT`` of a word, since most pairs are rare and would drown the few words that mark a
+toxic text. Gumbel noise made from the id is added, and
 the k largest sums are a sample without replacement in proportion to the weights.
 """
 
@@ -21,15 +23,20 @@ from mesada.llm.words import U, Words, mix, words_of
 
 BITS = 16
 BINS = 1_024
+PAIR_WEIGHT = 0.1
 
 
 def features(block: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every word and every pair of neighbouring words of a block."""
+    """(row, bucket) of every word and every pair of neighbouring words of a block.
+
+    Words have the buckets below 2^bits, pairs as many above them.
+    """
     pairs = mix(block.hashes[:-1] * U(0x9E3779B97F4A7C15) + block.hashes[1:])
     whole = block.row[:-1] == block.row[1:]
     row = np.concatenate([block.row, block.row[:-1][whole]])
-    hashes = np.concatenate([block.hashes, pairs[whole]])
-    return row, (hashes >> U(64 - bits)).astype(np.int64)
+    bucket = (np.concatenate([block.hashes, pairs[whole]]) >> U(64 - bits)).astype(np.int64)
+    bucket[len(block.hashes) :] += 1 << bits
+    return row, bucket
 
 
 def target_sample(labels: DataFrame, most: int) -> list[int]:
@@ -45,49 +52,58 @@ def model_counts(rows: DataFrame, target: list[int], bits: int = BITS) -> tuple:
     chosen = rows.sparkSession.sparkContext.broadcast(np.array(sorted(target), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, own = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        raw, own = np.zeros(2 << bits, np.int64), np.zeros(2 << bits, np.int64)
         for batch in batches:
             ids = batch.column(0)
             good = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), chosen.value)
             good &= np.asarray(ids.is_valid())
             for block in words_of(batch.column(1)):
                 row, bucket = features(block, bits)
-                raw += np.bincount(bucket, minlength=1 << bits)
+                raw += np.bincount(bucket, minlength=2 << bits)
                 hit = good[block.first + row]
-                own += np.bincount(bucket[hit], minlength=1 << bits)
+                own += np.bincount(bucket[hit], minlength=2 << bits)
         full = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(full), pa.array(raw[full]), pa.array(own[full])], names=["b", "raw", "own"]
         )
 
     counted = rows.mapInArrow(run, "b long, raw long, own long").groupBy("b")
-    # At most 2^bits rows: the models' size does not depend on the data.
+    # At most 2^(bits + 1) rows: the models' size does not depend on the data.
     held = counted.agg(F.sum("raw").alias("raw"), F.sum("own").alias("own")).collect()
-    raw, own = np.zeros(1 << bits), np.zeros(1 << bits)
+    raw, own = np.zeros(2 << bits), np.zeros(2 << bits)
     for r in held:
         raw[r["b"]], own[r["b"]] = r["raw"], r["own"]
     return own, raw
 
 
 def log_ratio(own: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log of target over raw probability of each bucket, both with one added to every count."""
-    return np.log((own + 1) / (own.sum() + len(own))) - np.log((raw + 1) / (raw.sum() + len(raw)))
+    """Log of target over raw probability of each bucket, both with one added to every count.
+
+    Words and pairs are distributions of their own.
+    """
+    own, raw = (counts.reshape(2, -1) + 1 for counts in (own, raw))
+    ratio = np.log(own / own.sum(1, keepdims=True)) - np.log(raw / raw.sum(1, keepdims=True))
+    return ratio.ravel()
 
 
 def mean_ratio(rows: DataFrame, ratio: np.ndarray, bits: int = BITS) -> DataFrame:
     """rows (id, text) as (id, n_features, mean_ratio); the mean is null without features."""
-    held = rows.sparkSession.sparkContext.broadcast(ratio)
+    weights = np.repeat([1.0, PAIR_WEIGHT], 1 << bits)
+    held = rows.sparkSession.sparkContext.broadcast(ratio * weights)
 
     def work(texts: pa.Array) -> list:
-        n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        n, total, weight = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.ones(len(texts))
         for block in words_of(texts):
             row, bucket = features(block, bits)
             size = block.last - block.first
-            n[block.first : block.last] = np.bincount(row, minlength=size)
+            many = np.bincount(row, minlength=size)
+            n[block.first : block.last] = many
+            full = block.count + PAIR_WEIGHT * (many - block.count)
+            weight[block.first : block.last] = np.maximum(full, 1)
             total[block.first : block.last] = np.bincount(
                 row, weights=held.value[bucket], minlength=size
             )
-        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+        mean = pa.array(total / weight, mask=n == 0)
         return [pa.array(n), mean]
 
     return map_text(rows, "text", work, "n_features long, mean_ratio double", drop_text=True)
@@ -140,8 +156,8 @@ def importance_sample(
 ) -> DataFrame:
     """(id, n_features, log_weight, key, kept): a row per row of docs.
 
-    ``share`` of the texts with features are kept; without one, the share of good quality among
-    the labels. Target texts are those of at most ``most_targets`` labels; all other counts are
+    ``share`` of the texts with features are kept; without one, the share of targets (good and
+    not toxic) among the labels that say both. Target texts are those of at most ``most_targets`` labels; all other counts are
     over all texts. Texts without words (null, empty, blank) have a null weight and are not
     kept; ties at the last place are all kept; repeated rows share weight, noise and verdict.
     Without labels everything with a word is kept; an empty table gives an empty result.
@@ -156,7 +172,9 @@ def importance_sample(
         )
     )
     if share is None:
-        share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+        said = labels.where("quality is not null and toxic is not null")
+        target = (F.col("quality") == 1) & (F.col("toxic") == 0)
+        share = said.agg(F.avg(target.cast("double"))).first()[0]
     n = scored.where("key is not null").count()
     last = kth_largest(scored, "key", round((1.0 if share is None else share) * n))
     kept = F.lit(False) if last is None else F.coalesce(F.col("key") >= F.lit(last), F.lit(False))

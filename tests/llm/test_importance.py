@@ -72,6 +72,28 @@ def test_junk_goes_and_shares_hold(spark):
     assert all(math.isclose(again[k], r["key"], rel_tol=1e-9) for k, r in got.items() if r["key"])
 
 
+def test_toxic_texts_go_and_clean_ones_stay(spark):
+    def text(k, marks):
+        r = random.Random(k)
+        made = [f"w{r.randrange(300)}" for _ in range(150)]
+        for mark in marks:
+            made.insert(r.randrange(150), mark)
+        return " ".join(made)
+
+    toxic = range(1_000, 1_160)
+    docs = [(k, text(k, ())) for k in range(1_000)]
+    docs += [(k, text(k, ("idiot", "clown", "moron", "idiot"))) for k in toxic]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    marks = [(k, 1, 0) for k in range(0, 1_000, 2)] + [(k, 1, 1) for k in toxic if k % 2 == 0]
+    marks += [(1, 1, None), (3, None, 0)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    kept = {r["id"] for r in importance_sample(docs, labels).where("kept").collect()}
+    assert len(kept) == 1_000
+    held_out = {k for k in toxic if k % 2}
+    assert len(kept & held_out) <= 0.1 * len(held_out)
+    assert len([k for k in kept if k < 1_000 and k % 2]) >= 0.95 * 500
+
+
 def test_empty_and_clashing(empty, clashing, spark):
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
     assert importance_sample(empty, labels).count() == 0
