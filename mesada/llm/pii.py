@@ -103,9 +103,18 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if mod97(m[0]):
-            yield m.span()
+    """A proposal may run into the words after an IBAN: its longest part, cut before a blank, that
+    passes. The search goes on behind that part, or behind the first word of a proposal in vain."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, end = m.span()
+        while end > start and not mod97(text[start:end]):
+            end = max(start, text.rfind(" ", start, end))
+        if end > start:
+            yield start, end
+            at = end
+        else:
+            at = m.end() if " " not in m[0] else text.index(" ", start)
 
 
 def _matches(pattern: re.Pattern):

@@ -80,6 +80,26 @@ def test_method_spans_need_a_check_or_context():
     assert kinds("SSN 123-45-6789") == ["account"] and kinds("part 123-45-6789") == []
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", ["ES91 2100 0418 4502 0005 1332"]),
+        ("to BE68539007547034 BIC GEBABEBB", ["BE68539007547034"]),
+        ("ES9121000418450200051332 SWIFT", ["ES9121000418450200051332"]),
+        ("NO93 8601 1117 947 BIC DNBANOKK", ["NO93 8601 1117 947"]),
+        ("BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32 OK",
+         ["BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32"]),
+        ("REF AB12 3456 7890 ES91 2100 0418 4502 0005 1332", ["ES91 2100 0418 4502 0005 1332"]),
+        ("BE68 5390 0754 7035 BIC GEBABEBB", []),
+        ("AB12 " * 3_000, []),
+    ],
+)
+def test_iban_before_upper_case_words(text, want):
+    assert [text[s:e] for k, s, e, _ in find(text) if k == "iban"] == want
+    masks = mask(text, [f for f in find(text) if f[0] == "iban"])
+    assert masks.count("<IBAN>") == len(want) and not any(w in masks for w in want)
+
+
 def test_query_columns(spark, docs, rows):
     extra = [(900 + k, t, "en", "x", 0) for k, t in enumerate(SAMPLES)]
     df = docs.unionByName(spark.createDataFrame(extra, docs.schema))
