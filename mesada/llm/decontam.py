@@ -12,6 +12,7 @@ block's index is broadcast, and the documents are scanned once for each block.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -168,8 +169,63 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[int
     return value >> 32, value & int(one - 1), min(n, max(0, low + best + m))
 
 
-def find_items(text_rows: list[str], index: Index) -> list[tuple]:
-    """(row, item, start, end, edits, shared) for each item in each text, at its best place."""
+def _overlaps(taken: list[tuple], start: int, end: int) -> bool:
+    """Whether start .. end-1 meets one of the spans, which are sorted and apart from each other."""
+    at = bisect_left(taken, (end,))
+    return at > 0 and taken[at - 1][1] > start
+
+
+def _regions(
+    codes: np.ndarray, begin: int, end: int, place: np.ndarray, offset: np.ndarray, q: int,
+    item: np.ndarray, budget: int, bound: int, every: bool,
+) -> list[tuple]:
+    """(start, end, edits, shared) of an item in codes[begin:end], apart from each other; the first
+    found if not ``every``.
+
+    The best places of a round are taken. What they leave free is searched again, by the shared
+    q-grams (place, offset) that lie in it, until no place is left. A band that meets an exact
+    place waits for the next round.
+    """
+    width, m = 2 * (budget + 1), len(item)
+    half, span = width // 2, end + 2 * (m + width)
+    taken: list[tuple] = []
+    while True:
+        free_from = np.array([begin, *(t[1] for t in taken)])
+        free_to = np.array([*(t[0] for t in taken), end])
+        gap = np.searchsorted(free_to[:-1], place, "right")
+        inside = (place >= free_from[gap]) & (place + q <= free_to[gap])
+        place, offset, gap = place[inside], offset[inside], gap[inside]
+        lows = [(place - offset + by) // width * width - by for by in (0, half)]
+        low, gaps = np.concatenate(lows), np.concatenate([gap, gap])
+        key, shared = np.unique(gaps * span + low + m + width, return_counts=True)
+        full = np.flatnonzero(shared >= bound)
+        exact: list[tuple] = []
+        hits = []
+        for j in full[np.argsort(-shared[full], kind="stable")].tolist():
+            g, at = divmod(int(key[j]), span)
+            at -= m + width
+            if _overlaps(exact, at, at + m):
+                continue
+            first = max(int(free_from[g]), at - budget)
+            last = min(int(free_to[g]), at + width + m + budget)
+            found = align(item, codes[first:last], at - budget - first, 4 * budget + 2)
+            s, e = first + found[1], first + found[2]
+            if found[0] <= budget and s < e:
+                hits.append((found[0], s, e, int(shared[j])))
+                if not every:
+                    return [(s, e, found[0], int(shared[j]))]
+                if found[0] == 0 and not _overlaps(exact, s, e):
+                    insort(exact, (s, e))
+        if not hits:
+            return taken
+        for edits, s, e, n in sorted(hits, key=lambda h: h[:3]):
+            if not _overlaps(taken, s, e):
+                insort(taken, (s, e, edits, n))
+
+
+def find_items(text_rows: list[str], index: Index, every: bool = True) -> list[tuple]:
+    """(row, item, start, end, edits, shared) for each item in each text, at every place that does
+    not overlap a better one; at one place only if not ``every``."""
     if not index.ids:
         return []
     codes, places = folded("\x00".join(text_rows) + "\x00")
@@ -184,33 +240,28 @@ def find_items(text_rows: list[str], index: Index) -> list[tuple]:
     lead = max(map(len, index.codes))
     diagonal = place - offset + lead  # never negative
     half = width // 2
-    keys, lows = [], []
+    keys = []
     pair = row * len(index.ids) + item
     for shift in (0, 1):
         band = (diagonal + shift * half) // width
         keys.append((pair << 28) | (band * 2 + shift))
-        lows.append(band * width - shift * half - lead)
-    key, low = np.concatenate(keys), np.concatenate(lows)
-    _, at, shared = np.unique(key, return_index=True, return_counts=True)
-    item2, row2 = np.concatenate([item, item])[at], np.concatenate([row, row])[at]
-    full = shared >= index.bound[item2]
-    best: dict[tuple, tuple] = {}
-    for j in sorted(np.flatnonzero(full), key=lambda j: -shared[j]):
-        i, r, k = int(item2[j]), int(row2[j]), int(index.budget[item2[j]])
-        if (r, i) in best and best[r, i][0][0] == 0:
-            continue  # a place without edits is known
-        begin, end = int(cut[r]), int(cut[r + 1]) - 1
-        first = max(begin, int(low[at[j]]) - k)
-        last = min(end, int(low[at[j]]) + 2 * (k + 1) + len(index.codes[i]) + k)
-        item_codes = index.codes[i].astype(np.int64)
-        found = align(item_codes, codes[first:last], int(low[at[j]]) - k - first, 4 * k + 2)
-        s, e = first + found[1], first + found[2]
-        if found[0] <= k and s < e:
-            hit = (found[0], int(places[s] - starts[r]), int(places[e - 1] + 1 - starts[r]))
-            was = best.get((r, i))
-            if was is None or hit < was[0]:
-                best[r, i] = (hit, int(shared[j]))
-    return [(r, i, h[1], h[2], h[0], n) for (r, i), (h, n) in sorted(best.items())]
+    key, shared = np.unique(np.concatenate(keys), return_counts=True)
+    likely = np.unique(key[shared >= index.bound[(key >> 28) % len(index.ids)]] >> 28)
+    among = np.flatnonzero(np.isin(pair, likely))
+    among = among[np.argsort(pair[among], kind="stable")]
+    out = []
+    for p, own in zip(
+        likely.tolist(), np.split(among, np.flatnonzero(np.diff(pair[among])) + 1), strict=False
+    ):
+        r, i = divmod(p, len(index.ids))
+        found = _regions(
+            codes, int(cut[r]), int(cut[r + 1]) - 1, place[own], offset[own], index.q,
+            index.codes[i].astype(np.int64), int(index.budget[i]), int(index.bound[i]), every,
+        )
+        for s, e, edits, n in found:
+            start, end = int(places[s] - starts[r]), int(places[e - 1] + 1 - starts[r])
+            out.append((r, i, start, end, edits, n))
+    return out
 
 
 def _indexes(
@@ -227,11 +278,11 @@ def _indexes(
         yield build_index([(r["id"], r["text"]) for r in part.toLocalIterator()], q, edits)
 
 
-def _scan(texts: pa.Array, index: Index) -> Iterator[tuple]:
+def _scan(texts: pa.Array, index: Index, every: bool = True) -> Iterator[tuple]:
     """find_items over a column, in runs of rows of bounded size."""
     texts = pc.fill_null(texts, "")
     for first, last in blocks(text_bytes(texts)[1], SEGMENT):
-        for r, *rest in find_items(texts[first:last].to_pylist(), index):
+        for r, *rest in find_items(texts[first:last].to_pylist(), index, every):
             yield first + r, *rest
 
 
@@ -246,9 +297,9 @@ def contaminated(
     edits: float = EDITS,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """(id, item_id, start, end, edits, shared): a row per row of docs and item found in it.
+    """(id, item_id, start, end, edits, shared): a row per row of docs and place of an item in it.
 
-    Places are code points of the text. Null texts are empty and match nothing, as do items that
+    Places of one item do not overlap; of overlapping ones the best is given. Places are code points of the text. Null texts are empty and match nothing, as do items that
     are null or shorter than q; equal items are each reported; repeated rows each have theirs.
     An empty table on either side gives an empty result.
     """
@@ -296,7 +347,7 @@ def without_contaminated(
             for batch in batches:
                 column = batch.column(batch.schema.get_field_index(text_col))
                 clean = np.ones(batch.num_rows, bool)
-                clean[[f[0] for f in _scan(column, held.value)]] = False
+                clean[[f[0] for f in _scan(column, held.value, every=False)]] = False
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema) if index.ids else out

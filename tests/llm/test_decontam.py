@@ -77,6 +77,26 @@ def test_every_place_within_budget_is_found():
         assert any(index.ids[f[1]] == k for f in find_items([text], index)), seed
 
 
+def test_each_copy_in_a_text_is_found():
+    index = build_index([*ITEMS, (60, "ab" * 40), (61, "a" * 20)])
+    for k, (item, text) in enumerate(ITEMS[:8]):
+        budget = int(0.05 * len(text))
+        copies = [text, edited(text, budget // 2, k), text.upper(), edited(text, budget // 2, k + 9)]
+        whole, want = prose(k, 40), []
+        for copy in copies:
+            want.append((len(whole) + 1, len(whole) + 1 + len(copy)))
+            whole += " " + copy + " " + prose(k + 30, 20)
+        found = [f for f in find_items([prose(1, 90), whole], index) if index.ids[f[1]] == item]
+        assert [f[0] for f in found] == [1] * 4
+        for (start, end), (_, _, s, e, edits, _) in zip(want, found, strict=True):
+            assert abs(s - start) + abs(e - end) <= 2 * budget and edits <= budget
+        assert len([f for f in find_items([whole], index, every=False) if index.ids[f[1]] == item]) == 1
+    for text, item, m in (("ab" * 100, 60, 80), ("a" * 207, 61, 20)):
+        found = [f for f in find_items(["# " + text + " #"], index) if index.ids[f[1]] == item]
+        assert len(found) == len(text) // m
+        assert all(a[3] <= b[2] for a, b in zip(found, found[1:], strict=False))
+
+
 def test_query_and_stage(spark, clashing, empty, docs):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     text = "é " * 20 + ITEMS[2][1] + " — tail " + ITEMS[3][1]
