@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mesada.llm.common import shared_dir
 from mesada.llm.decontam import contaminated
 from mesada.llm.importance import importance_sample
+from mesada.llm.langid import language_predictions
 from mesada.llm.lm import language_scores
 from mesada.llm.pii import pii_spans
 from mesada.llm.quality import quality_rules
@@ -121,3 +122,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_predictions(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
