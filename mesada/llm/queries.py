@@ -14,6 +14,7 @@ from mesada.llm.decontam import contaminated
 from mesada.llm.importance import importance_sample
 from mesada.llm.langid import language_predictions
 from mesada.llm.lm import language_scores
+from mesada.llm.negatives import hard_negatives
 from mesada.llm.pii import pii_spans
 from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
@@ -128,3 +129,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_predictions(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved))
+
+
+ORACLE["op12_hard_negatives"] = """WITH r AS (SELECT vec_id,
+  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+  CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r AS a JOIN r AS b ON a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE vec_id <> anchor_id AND label = anchor_label QUALIFY
+  row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+  negative_score FROM n WHERE rank <= 10"""

@@ -1,0 +1,164 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from mesada.llm.negatives import (
+    Group,
+    angles_to,
+    choose_directions,
+    hard_negatives,
+    matrix,
+    products,
+    score_bounds,
+)
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+LONG = (1 << 63) - 1
+
+
+def plain(rows, positives=5, negatives=10, least=30, most=90, is_anchor=lambda i: i % 100 == 0):
+    """Rows by the definition, as a bag."""
+    good = []
+    for ident, vector, label in rows:
+        if label is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        good.append((ident, [math.floor(256 * x) for x in vector], label))
+
+    def best(found):
+        return sorted(found, key=lambda r: (-r[0], r[1] is None, r[1]))
+
+    out = []
+    for a, v, label in good:
+        if a is None or not is_anchor(a):
+            continue
+        scored = []
+        for i, w, other in good:
+            score = sum(x * y for x, y in zip(v, w))
+            scored.append((max(-LONG, min(LONG, score)), i, other))
+        same = [(s, i) for s, i, other in scored if other == label and i != a]
+        apart = [(s, i) for s, i, other in scored if other != label]
+        for p_score, p in best(same)[:positives]:
+            fit = [(s, i) for s, i in apart if least * p_score <= 100 * s <= most * p_score]
+            for rank, (s, i) in enumerate(best(fit)[:negatives], 1):
+                out.append((a, p, rank, i, p_score, s))
+    return Counter(out)
+
+
+def some_rows(seed, n=420, width=6):
+    r = random.Random(seed)
+    centres = [[r.gauss(0, 0.3) for _ in range(width)] for _ in range(5)]
+    rows = []
+    for k in range(n):
+        centre = r.choice(centres)
+        vector = [float(np.float32(x + r.gauss(0, 0.15))) for x in centre]
+        rows.append((k, vector, r.choice([0, 1, 2])))
+    return rows
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_matches_brute_force(spark):
+    rows = some_rows(1)
+    hot = [0.5, 0.25, -0.125, 0.0, 0.5, 0.5]  # a third of the rows are equal
+    rows += [(1_000 + k, hot, k % 3) for k in range(200)]
+    rows += [(2_000, None, 1), (2_001, [0.1] * 6, None), (2_100, [None] + [0.1] * 5, 1)]
+    rows += [(2_200, [float("nan")] * 6, 2), (2_300, [float("inf")] + [0.0] * 5, 2)]
+    rows += [(2_400, [], 0), (2_500, [0.0] * 6, 1), (2_600, [0.3, 0.4], 2)]
+    rows += [(None, rows[3][1], 0), (None, rows[4][1], 1), rows[7], rows[7], rows[100]]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = plain(rows)
+    assert len(want) > 200
+    assert bag(hard_negatives(df)) == want
+
+
+def test_groups_and_options(spark, monkeypatch):
+    rows = some_rows(2, 300)
+    monkeypatch.setattr("mesada.llm.negatives.GROUP_BYTES", 1 << 10)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = hard_negatives(
+        df, anchor=F.col("vec_id") % 50 == 7, n_positives=3, n_negatives=2, least=10, most=95
+    )
+    assert bag(got) == plain(rows, 3, 2, 10, 95, lambda i: i % 50 == 7)
+
+
+def test_text_ids_doubles_and_clashing_names(spark):
+    rows = [(f"k{i:03}", v, f"l{label}") for i, v, label in some_rows(3, 200)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>, label string")
+    for name in ("id", "v", "a", "g", "norm", "angles", "found", "asked", "anchor", "cell", "near"):
+        df = df.withColumn(name, F.lit(name))
+    got = hard_negatives(df, anchor=F.col("vec_id").endswith("00"))
+    assert bag(got) == plain(rows, is_anchor=lambda i: i.endswith("00"))
+
+
+def test_huge_components(spark):
+    rows = [(0, [1e9, 3.0], 0), (1, [2e9, 5.0], 0), (2, [1e9, 1.0], 1), (3, [-1e30, 1.0], 1)]
+    rows += [(4, [1e30, 1.0], 0), (5, [5e8, 7.0], 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    rows = [(i, [float(np.float32(x)) for x in v], label) for i, v, label in rows]
+    assert bag(hard_negatives(df)) == plain(rows)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert hard_negatives(df).count() == 0
+    assert hard_negatives(spark.createDataFrame([(0, None, 1)], SCHEMA)).count() == 0
+    assert hard_negatives(spark.createDataFrame([(0, [], 1)], SCHEMA)).count() == 0
+    assert hard_negatives(spark.createDataFrame([(1, [0.5], 1)], SCHEMA)).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.integers(1, 6).flatmap(
+        lambda w: st.lists(
+            st.lists(st.integers(-300, 300), min_size=w, max_size=w), min_size=3, max_size=8
+        )
+    )
+)
+def test_bounds_hold(rows):
+    rows = np.array(rows, float)
+    norms = np.sqrt((rows**2).sum(axis=1))
+    directions = choose_directions(rows, 3)
+    angles = angles_to(rows, norms, directions).astype(np.float32).astype(float)
+    for a in range(len(rows)):
+        exact = products(rows, rows[a])
+        low, high = score_bounds(angles[a], norms[a], angles, angles, norms, norms)
+        assert (low <= exact).all() and (exact <= high).all()
+        low, high = score_bounds(
+            angles[a], norms[a], angles.min(0)[None], angles.max(0)[None],
+            norms.min()[None], norms.max()[None],
+        )
+        assert low[0] <= exact.min() and exact.max() <= high[0]
+
+
+def test_only_rows_that_a_window_meets_are_scored():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 16))
+    made = centres[np.arange(3_000) % 6] + rng.normal(size=(3_000, 16)) * 0.05
+    vectors = pa.array(made.tolist(), pa.list_(pa.float64()))
+    ints = matrix(vectors, 256.0)
+    norms = np.sqrt((ints**2).sum(axis=1))
+    angles = angles_to(ints, norms, choose_directions(ints)).astype(np.float32)
+    table = pa.table(
+        {
+            "id": np.arange(3_000), "label": ["x"] * 3_000, "v": vectors, "norm": norms,
+            "angles": pa.array([a.tobytes() for a in angles], pa.binary()),
+        }
+    )
+    group = Group(table, 256.0)
+    found = group.search(
+        ints[0], norms[0], angles[0].astype(float), np.ones(3_000, bool), [(-LONG, LONG)], 5
+    )
+    scores = products(ints, ints[0])
+    want = sorted(range(3_000), key=lambda k: (-scores[k], k))[:5]
+    assert group.ids.take(pa.array(found[0].rows)).to_pylist() == want
+    assert group.scored < 900  # about one cluster of six
