@@ -16,11 +16,13 @@ from mesada.llm.langid import language_predictions
 from mesada.llm.lm import language_scores
 from mesada.llm.negatives import hard_negatives
 from mesada.llm.pii import pii_spans
+from mesada.llm.prefixes import prefix_trie
 from mesada.llm.quality import quality_rules
 from mesada.llm.shard import shard
 from mesada.llm.simhash import simhash_components
 from mesada.llm.spm import encoding_digests
 from mesada.llm.suffix import kept_digests, repeated_spans
+from mesada.llm.turns import numbered, with_openings
 from mesada.llm.warc import read_index, read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +157,44 @@ n AS (SELECT p.anchor_id, p.vec_id AS positive_id,
     AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
   negative_score FROM n WHERE rank <= 10"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*with_openings(numbered(table(spark, sf_dir, "conversations"))))
+
+
+ORACLE["op13_prefix_trie"] = """WITH t AS (SELECT conv_id, coalesce(role, '') AS role,
+  coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base,
+  xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+    string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (SELECT c.*, (SELECT count(*) FROM t WHERE t.conv_id = c.base AND t.pos <= c.h) AS taken
+  FROM c),
+r AS (SELECT m.conv_id, t.pos AS d, t.role, t.text
+  FROM m JOIN t ON t.conv_id = m.base AND t.pos <= m.h
+  UNION ALL SELECT m.conv_id, t.pos - m.h + m.taken, t.role, t.text
+  FROM m JOIN t ON t.conv_id = m.conv_id AND t.pos > m.h
+  UNION ALL SELECT conv_id, 0, NULL, '' FROM m),
+k AS (SELECT conv_id, d, length(text) AS chars, max(d) OVER (PARTITION BY conv_id) AS len,
+  string_agg(CASE WHEN d > 0 THEN md5(role) || md5(text) ELSE '' END, '')
+    OVER (PARTITION BY conv_id ORDER BY d) AS key FROM r),
+n AS (SELECT d AS depth, key, min(conv_id) AS conv_id, count(*) AS n_convs,
+  (count(*) - 1) * any_value(chars) AS saved, count(*) FILTER (d = len) = count(*) AS leaf,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = len), ''))
+    AS ends_sha256 FROM k GROUP BY d, key),
+u AS (SELECT DISTINCT a.key AS above, b.key, b.d AS depth
+  FROM k AS a JOIN k AS b ON a.conv_id = b.conv_id AND b.d >= a.d),
+s AS (SELECT u.above, count(*) FILTER (n.leaf) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM u JOIN n ON n.key = u.key GROUP BY u.above)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  (SELECT count(*) FROM n AS x WHERE x.depth = n.depth + 1
+    AND substr(x.key, 1, length(x.key) - 64) = n.key) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.above = n.key LEFT JOIN n AS p
+  ON p.depth = n.depth - 1 AND p.key = substr(n.key, 1, greatest(length(n.key) - 64, 0))"""
