@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -33,6 +35,7 @@ from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.profiles import PROFILES, get_profile
+from mesada.sources.writers import read_report_file, write_report_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -809,6 +812,37 @@ for _fn, _sql, _profile in (
     )(_month_report(_fn, _profile))
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new place in the folder that all executors share; a local one only on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='mesada-')}/{uuid.uuid4().hex}"
+
+
+def _flat_file(fn, profile, as_of):
+    """A report written as one flat file and read back by position."""
+
+    def q(spark, sf_dir):
+        cal = report_calendar(spark, as_of, holidays(spark))
+        df = fn(relations(spark, sf_dir, profile), cal, profile)
+        path = f"{_scratch(spark)}/{fn.__name__}.csv"
+        write_report_file(df, path, header=True)
+        return read_report_file(spark, path, df.schema, header=True)
+
+    return q
+
+
+for _fn, _sql, _profile in (
+    (transfer_detail, o.transfer_detail, "v2"),
+    (disbursement_totals, o.disbursement_totals, "v1"),
+):
+    query(
+        f"flat_file_{_fn.__name__}_{_profile}",
+        _sql(_profile, " UNION ".join(map(_one_date, _MONTH_DAYS))),
+    )(_flat_file(_fn, _profile, _MONTH_DAYS))
+
+
 def _report(fn, profile):
     def q(spark, sf_dir):
         p = get_profile(profile)

@@ -15,7 +15,8 @@ from mesada.sources.readers import (
     read_table,
 )
 from mesada.sources.schemas import RELATIONS, schema_of
-from mesada.sources.writers import write_report
+from mesada.sources import writers
+from mesada.sources.writers import read_report_file, write_report, write_report_file
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +127,70 @@ def test_report_files_are_in_order(spark, base, holidays, tmp_path):
 def test_positional_placeholders(spark):
     df = positional(spark.sql("select 1 as x"), [None, None, "x"], "T", "")
     assert df.columns == ["c01", "c02", "x"] and tuple(df.first()) == ("T", "", 1)
+
+
+def hidden(folder):
+    return [p.name for p in folder.iterdir() if p.name.startswith(".") and "crc" not in p.suffix]
+
+
+def test_one_flat_file_equals_the_parts(spark, tmp_path):
+    df = spark.range(0, 5000, 1, 7).selectExpr(
+        "id", "if(id % 3 = 0, null, concat(' ñ', id, ' ')) a", "if(id % 5 = 0, '', 'x,\"y') b",
+        "cast(id / 7 as decimal(18,2)) c",
+    ).orderBy("id")
+    write_report(df, str(tmp_path / "parts"))
+    write_report_file(df, str(tmp_path / "one.csv"))
+    parts = b"".join(p.read_bytes() for p in sorted((tmp_path / "parts").glob("part-*.csv")))
+    assert len(sorted((tmp_path / "parts").glob("part-*.csv"))) > 1
+    assert (tmp_path / "one.csv").read_bytes() == parts
+    back = read_report_file(spark, str(tmp_path / "one.csv"), df.schema)
+    assert back.exceptAll(df).count() == 0 and back.count() == 5000
+    assert hidden(tmp_path) == []
+
+
+def test_header_once_and_overwrite(spark, tmp_path):
+    path = str(tmp_path / "r.csv")
+    df = spark.range(0, 40, 1, 5).selectExpr("id as `OP`", "id as `CC;\"CE`")
+    write_report_file(df, path, sep=";", header=True)
+    lines = (tmp_path / "r.csv").read_text().splitlines()
+    assert lines[0] == 'OP;"CC;\\"CE"' and len(lines) == 41 and lines[1:] == [f"{k};{k}" for k in range(40)]
+    with pytest.raises(FileExistsError):
+        write_report_file(df, path)
+    write_report_file(df.limit(0), path, header=True, mode="overwrite")
+    assert (tmp_path / "r.csv").read_text() == 'OP,"CC;\\"CE"\n'
+    with pytest.raises(ValueError, match="mode"):
+        write_report_file(df, path, mode="append")
+
+
+def test_failed_run_leaves_the_old_file(spark, tmp_path, monkeypatch):
+    path = tmp_path / "r.csv"
+    good = spark.range(3)
+    write_report_file(good, str(path))
+    bad = spark.range(0, 9, 1, 3).selectExpr("if(id = 7, raise_error('broken'), id) v")
+    with pytest.raises(Exception, match="broken"):
+        write_report_file(bad, str(path), mode="overwrite")
+
+    def torn(spark, files, folder, out):
+        out.write(bytearray(b"half"))
+        raise OSError("no space")
+
+    monkeypatch.setattr(writers, "_append_parts", torn)
+    with pytest.raises(OSError, match="no space"):
+        write_report_file(good, str(path), mode="overwrite")
+    assert path.read_text() == "0\n1\n2\n" and hidden(tmp_path) == []
+
+
+def test_joining_many_parts_keeps_memory_flat(spark, tmp_path):
+    # About 100 MB in 60 parts.
+    df = spark.range(0, 60_000, 1, 60).selectExpr("id", "repeat(sha2(cast(id as string), 512), 13) t")
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+
+    def used():
+        spark._jvm.System.gc()
+        return runtime.totalMemory() - runtime.freeMemory()
+
+    before = used()
+    write_report_file(df, str(tmp_path / "big.csv"))
+    assert used() - before < 30 << 20
+    assert (tmp_path / "big.csv").stat().st_size > 95 << 20
+    assert read_report_file(spark, str(tmp_path / "big.csv"), "id long, t string").count() == 60_000
