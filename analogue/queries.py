@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from analogue import oracle as o
-from analogue.relations import DATES, SQL, duck, holidays, relations, run, table
+from analogue.relations import DATES, SQL, derived, duck, holidays, relations, run, table
 from mesada import (
     disbursement_detail,
     disbursement_totals,
@@ -35,6 +35,7 @@ from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.profiles import PROFILES, get_profile
+from mesada.sources.pushdown import pushed_relations
 from mesada.sources.writers import read_report_file, write_report_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -843,6 +844,27 @@ for _fn, _sql, _profile in (
     )(_flat_file(_fn, _profile, _MONTH_DAYS))
 
 
+def _pushed(fn, profile):
+    """The same from relations cut to the months, requests and keys of the report."""
+
+    def q(spark, sf_dir):
+        cal = report_calendar(spark, _MONTH_DAYS, holidays(spark))
+        return fn(pushed_relations(spark, derived(sf_dir), cal, profile), cal, profile)
+
+    return q
+
+
+for _fn, _sql, _profile in (
+    (disbursement_detail, o.disbursement_detail, "v2"),
+    (transfer_detail, o.transfer_detail, "v2"),
+    (disbursement_totals, o.disbursement_totals, "v1"),
+):
+    query(
+        f"pushed_{_fn.__name__}_{_profile}",
+        _sql(_profile, " UNION ".join(map(_one_date, _MONTH_DAYS))),
+    )(_pushed(_fn, _profile))
+
+
 def _report(fn, profile):
     def q(spark, sf_dir):
         p = get_profile(profile)

@@ -34,7 +34,8 @@ def open_months(cal: DataFrame, lag_days: int = 0) -> DataFrame:
     )
 
 
-def _span(cal: ReportCalendar, op: str | None) -> tuple[dt.date, dt.date]:
+def gate_span(cal: ReportCalendar, op: str | None = None) -> tuple[dt.date, dt.date]:
+    """First day and end of what the gate can let through; the months must be known."""
     first, last = cal.first_month, cal.last_month
     # The first batch of the first business day lies in the first days of the month.
     end = (
@@ -62,7 +63,7 @@ def month_gate(
     frame = weekday_guard(cal.frame) if guard else cal.frame
     gate = open_months(frame, lag_days)
     if cal.first_month is not None:
-        lo, hi = _span(cal, cutoff_op)
+        lo, hi = gate_span(cal, cutoff_op)
         ts_type = df.schema[ts_col].dataType
         df = df.filter(
             (F.col(ts_col) >= F.lit(lo).cast(ts_type)) & (F.col(ts_col) < F.lit(hi).cast(ts_type))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mesada.profiles import Profile, get_profile
 from mesada.sources.schemas import RELATIONS, ddl_of, schema_of, text_columns
@@ -21,11 +20,11 @@ def conform(df: DataFrame, name: str, empty_as_null: bool = False) -> DataFrame:
 
     texts = text_columns(name) if empty_as_null else ()
 
-    def column(f):
-        col = F.col(f.name).cast(f.dataType)
-        return (F.nullif(col, F.lit("")) if f.name in texts else col).alias(f.name)
+    def column(f) -> str:
+        col = f"CAST(`{f.name}` AS {f.dataType.simpleString()})"
+        return f"nullif({col}, '') AS `{f.name}`" if f.name in texts else f"{col} AS `{f.name}`"
 
-    return df.select(*[column(f) for f in schema_of(name)])
+    return df.selectExpr(*[column(f) for f in schema_of(name)])
 
 
 @dataclass(frozen=True)
@@ -54,13 +53,25 @@ class CatalogSource:
 SMALL_RELATIONS = ("banco", "diadepago", "diasfestivos", "modalidadpagosegurovida")
 
 
+def split_predicates(column: str, points: Sequence[int]) -> list[str]:
+    """Predicates that every row meets exactly one of, rows without a key included."""
+    if not points:
+        return ["1 = 1"]
+    inner = [
+        f"{column} >= {a} AND {column} < {b}" for a, b in zip(points, points[1:], strict=False)
+    ]
+    return [f"{column} < {points[0]} OR {column} IS NULL", *inner, f"{column} >= {points[-1]}"]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Tables of a remote database, read in parallel ranges of a numeric key.
 
-    `ranges` gives (column, lower, upper, partitions) per table. Tables named in `small`
-    are read by a single task; any other without a range is refused. Bounds only place the
-    splits: rows outside them are read too, by the first and last task.
+    `ranges` gives (column, lower, upper, partitions) per table, `points` (column, split
+    points), as `pushdown.quantile_points` finds them where even ranges would not be even in
+    rows. Tables named in `small` are read by a single task; any other without a range, points
+    or predicates is refused. Bounds only place the splits: rows outside them are read too, by
+    the first and last task.
     """
 
     url: str
@@ -68,9 +79,14 @@ class JdbcSource:
     properties: Mapping[str, str] = field(default_factory=dict, hash=False)
     ranges: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict, hash=False)
     small: tuple[str, ...] = SMALL_RELATIONS
+    points: Mapping[str, tuple[str, tuple[int, ...]]] = field(default_factory=dict, hash=False)
 
-    def options(self, name: str) -> dict[str, str]:
-        if name not in self.ranges and name not in self.small:
+    def splits(self, name: str) -> list[str] | None:
+        """Predicates between the table's split points, if it has some."""
+        return split_predicates(*self.points[name]) if name in self.points else None
+
+    def options(self, name: str, predicates: Sequence[str] | None = None) -> dict[str, str]:
+        if predicates is None and not any(name in x for x in (self.ranges, self.points, self.small)):
             raise ValueError(
                 f"{name}: give `ranges` for it, or name it in `small`; "
                 "without a range one task would read the whole table"
@@ -83,7 +99,7 @@ class JdbcSource:
             "preferTimestampNTZ": "true",
             **self.properties,
         }
-        if name in self.ranges:
+        if name in self.ranges and predicates is None and name not in self.points:
             column, lower, upper, partitions = self.ranges[name]
             out |= {
                 "partitionColumn": column,
@@ -93,8 +109,16 @@ class JdbcSource:
             }
         return out
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(name)).load()
+    def read(
+        self, spark: SparkSession, name: str, predicates: Sequence[str] | None = None
+    ) -> DataFrame:
+        """The table, in one task for each predicate if some are given or made by points."""
+        predicates = self.splits(name) if predicates is None else list(predicates)
+        options = self.options(name, predicates)
+        if predicates is None:
+            return spark.read.format("jdbc").options(**options).load()
+        url, table = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
 Source = FileSource | CatalogSource | JdbcSource
