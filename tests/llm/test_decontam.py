@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -115,3 +116,77 @@ def test_query_and_stage(spark, clashing, empty, docs):
     assert contaminated(empty, bench).count() == 0
     assert contaminated(docs, bench.limit(0)).count() == 0
     assert without_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_small_random_texts_against_brute_force(seed):
+    """An item is found in a text if, and only if, some place of it is within the budget."""
+    r = random.Random(seed)
+    share = r.choice([0.05, 0.1, 0.2])
+    items = [(k, "".join(r.choices("abc", k=r.randrange(1, 45)))) for k in range(25)]
+    index = build_index(items, edits=share)
+    texts = []
+    for _ in range(25):
+        text = "".join(r.choices("abc", k=r.randrange(0, 50)))
+        item = r.choice(items)[1]
+        if len(item) > 12:
+            item = edited(item, r.randrange(0, 4), r.random())
+        at = r.randrange(len(text) + 1)
+        texts.append(text[:at] + item + text[at:])
+    found = find_items(texts, index)
+    want = {
+        (row, k)
+        for row, text in enumerate(texts)
+        for k, item in items
+        if distance_within(item, text) <= int(share * len(item))
+    }
+    assert {(row, index.ids[i]) for row, i, *_ in found} == want
+    first = {row for row, *_ in find_items(texts, index, every=False)}
+    assert first == {row for row, _ in want}
+    for row, i, start, end, edits, _ in found:
+        assert distance_within(items[i][1], texts[row][start:end]) == edits
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_long_items_take_little_memory():
+    r = random.Random(3)
+    item = "".join(r.choices("abcdefgh ", k=8_000))
+    index = build_index([(1, item)])
+    text = "start " + item[:2_000] + "#" + item[2_001:7_000] + "#" + item[7_001:] + " end"
+    found, peak = peak_mb(lambda: find_items([text], index))
+    assert [(f[1], f[4]) for f in found] == [(0, 2)] and peak < 40
+
+
+def test_items_that_share_a_prompt_take_little_memory():
+    r = random.Random(4)
+    prompt = "answer the following question as briefly as you can please "
+    items = [(k, prompt + "".join(r.choices("abcdefghij ", k=60)).strip()) for k in range(2_000)]
+    index = build_index(items)
+    found, peak = peak_mb(lambda: find_items([prompt * 400, prompt * 30 + items[9][1][59:]], index))
+    assert [(f[0], index.ids[f[1]]) for f in found] == [(1, 9)] and peak < 150
+
+
+def test_short_items_are_searched_exactly():
+    index = build_index([(1, "zq"), (2, "Short one"), (3, "x" * 20), (4, " \n"), (5, None)])
+    texts = ["a zq b", "a short  ONE!", "short two", "y" + "x" * 9 + "#" + "x" * 10, "x" * 18]
+    assert {(r, index.ids[i], e) for r, i, _, _, e, _ in find_items(texts, index)} == {
+        (0, 1, 0), (1, 2, 0), (3, 3, 1),
+    }
+
+
+def test_equal_items_are_each_reported(spark):
+    text = prose(77, 30)
+    bench = spark.createDataFrame([(k, text) for k in range(40)] + [(99, "zzz")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "see " + text), (2, "none")], "doc_id long, text string")
+    for chars in (1 << 20, 100):
+        got = contaminated(docs, bench, block_chars=chars).collect()
+        assert sorted(r["item_id"] for r in got) == list(range(40))
+        assert without_contaminated(docs, bench, block_chars=chars).count() == 1
