@@ -112,6 +112,27 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digests(spans).withColumnRenamed("id", "doc_id")
 
 
+# Strings are substrings of the hexadecimal text; their MD5 stands for them.
+ORACLE["op8_suffix_dedup"] = """WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT r, doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM d),
+s AS (SELECT r, k, md5_number(substr(h, 2 * k + 1, 400)) AS m
+  FROM (SELECT r, h, unnest(range(0, n - 199)) AS k FROM g)),
+b AS (SELECT m FROM s GROUP BY m HAVING count(*) > 1),
+p AS (SELECT r, k, k - lag(k) OVER (PARTITION BY r ORDER BY k) AS step FROM s SEMI JOIN b USING (m)),
+q AS (SELECT r, k, sum(CASE WHEN step <= 200 THEN 0 ELSE 1 END)
+  OVER (PARTITION BY r ORDER BY k) AS span FROM p),
+x AS (SELECT r, span, min(k) AS a, max(k) + 200 AS z FROM q GROUP BY r, span),
+e AS (SELECT r, count(*) AS n_spans, sum(z - a) AS n_removed FROM x GROUP BY r),
+k AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS low, a AS high FROM x
+  UNION ALL SELECT g.r, coalesce(max(x.z), 0), any_value(g.n) FROM g LEFT JOIN x USING (r) GROUP BY g.r),
+t AS (SELECT k.r, string_agg(substr(g.h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS kept
+  FROM k JOIN g USING (r) GROUP BY k.r)
+SELECT g.doc_id, g.n AS n_bytes, CAST(coalesce(e.n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(e.n_spans, 0) AS n_spans, sha256(unhex(coalesce(t.kept, ''))) AS kept_sha256
+FROM g LEFT JOIN e USING (r) JOIN t USING (r)"""
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash_components(table(spark, sf_dir, "documents"))

@@ -58,8 +58,8 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string array without nulls, and the offsets of its rows."""
-    if pa.types.is_large_string(texts.type):
+    """All bytes of a string or binary array without nulls, and the offsets of its rows."""
+    if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type):
         kind = np.int64
     else:
         kind = np.int32
