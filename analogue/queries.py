@@ -34,6 +34,7 @@ from mesada.operators.lookups import bridge_lookup, lookup
 from mesada.operators.ordering import order_by_ordinal
 from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
+from mesada.plans.parts import DISBURSEMENT, TRANSFER, totals_from_parts, write_partial_totals
 from mesada.profiles import PROFILES, get_profile
 from mesada.sources.pushdown import pushed_relations
 from mesada.sources.writers import read_report_file, write_report_file
@@ -53,13 +54,13 @@ def comparable(df: DataFrame) -> DataFrame:
     """Dates as text and decimals as double: types that every client reads alike."""
     out = []
     for f in df.schema.fields:
-        col = c(f"`{f.name}`")
+        col = f"`{f.name}`"
         if isinstance(f.dataType, DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
+            col = f"date_format({col}, 'yyyy-MM-dd')"
         elif isinstance(f.dataType, DecimalType):
-            col = col.cast("double")
-        out.append(col.alias(f.name))
-    return df.select(*out)
+            col = f"CAST({col} AS DOUBLE)"
+        out.append(f"{col} AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(name: str, sql: str):
@@ -898,3 +899,24 @@ for _profile in ("v1", "v2"):
     query(f"transfer_totals_{_profile}", o.transfer_totals(_profile))(
         _report(transfer_totals, _profile)
     )
+
+
+def _from_parts(report, profile):
+    """All months' partial sums stored, then the totals of every date from them."""
+
+    def q(spark, sf_dir):
+        path = f"{_scratch(spark)}/{report}"
+        write_partial_totals(relations(spark, sf_dir, profile), path, report, profile)
+        cal = backfill_calendar(spark, sf_dir, get_profile(profile).holiday_rule)
+        return totals_from_parts(spark, path, cal, report, profile)
+
+    return q
+
+
+for _kind, _sql, _profile in (
+    (DISBURSEMENT, o.disbursement_totals, "v1"),
+    (DISBURSEMENT, o.disbursement_totals, "v2"),
+    (TRANSFER, o.transfer_totals, "v1"),
+    (TRANSFER, o.transfer_totals, "v2"),
+):
+    query(f"parts_{_kind}_totals_{_profile}", _sql(_profile))(_from_parts(_kind, _profile))

@@ -136,11 +136,11 @@ def cut(x: Column, length: int) -> Column:
 
 def empty_to_null(df: DataFrame) -> DataFrame:
     """E1: '' becomes NULL in every string column."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name)
+            f"nullif(`{f.name}`, '') AS `{f.name}`"
             if isinstance(f.dataType, StringType)
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

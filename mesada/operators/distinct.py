@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -14,5 +13,5 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     from splitting that join. This way equal rows are combined map-side and the rest is
     spread by the hash of the whole row.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    return df.select(row).distinct().select("row.*")
+    row = ", ".join(f"`{c}`" for c in df.columns)
+    return df.selectExpr(f"struct({row}) AS row").distinct().select("row.*")

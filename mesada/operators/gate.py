@@ -78,6 +78,19 @@ def month_gate(
     return df.join(gate, on).drop("mes", "corte_base")
 
 
+def gate_parts(
+    parts: DataFrame, cal: ReportCalendar, lag_days: int = 0, cutoff_op: str = "="
+) -> DataFrame:
+    """L1-L3, L6, L7 on rows that stand for all facts of a month (`mes`) and batch (`corte`)."""
+    if cal.first_month is not None:
+        parts = parts.where(F.col("mes").between(F.lit(cal.first_month), F.lit(cal.last_month)))
+    gate = open_months(cal.frame, lag_days).withColumnRenamed("mes", "gate_mes")
+    on = (F.col("mes") == F.col("gate_mes")) & cutoff_matches(
+        F.col("corte"), F.col("corte_base"), cutoff_op
+    )
+    return parts.join(gate, on).drop("gate_mes", "corte_base")
+
+
 def type_filter(col: Column, types: Sequence[int]) -> Column:
     """Detail type is one of `types`."""
     return col == types[0] if len(types) == 1 else col.isin(*types)

@@ -49,11 +49,14 @@ def positional(
 
     Placeholders get the names c02, c03, ...; the order is the contract.
     """
-    cols = [F.lit(label).alias("c01")]
+
+
+    def constant(value: str | None, i: int) -> str:
+        text = "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"CAST({text} AS STRING) AS c{i:02d}"
+
+    cols = [constant(label, 1)]
     for i, name in enumerate(layout[1:], start=2):
-        if name is None:
-            cols.append(F.lit(empty).cast("string").alias(f"c{i:02d}"))
-        else:
-            cols.append(F.col(name))
-    keep = [F.col("as_of")] if "as_of" in df.columns else []
-    return df.select(*keep, *cols)
+        cols.append(constant(empty, i) if name is None else f"`{name}`")
+    keep = ["as_of"] if "as_of" in df.columns else []
+    return df.selectExpr(*keep, *cols)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mesada.functions.dates import ddmmyyyy
@@ -332,15 +332,20 @@ def _opt(name: str | None) -> list[str]:
     return [name] if name else []
 
 
-def _lines_per_request(lines: DataFrame, sent: DataFrame) -> DataFrame:
+def _lines_per_request(lines: DataFrame, sent: DataFrame, measure: str) -> DataFrame:
     """Disbursement rows of sent requests, counted: totals need no row-by-row join (Q8).
 
+    The requests are taken from the very rows that ``measure`` was summed into: a test on it,
+    which all of them pass, keeps it in the plan, so that both uses share one exchange and the
+    sendings are read once.
+
     The semi join is on the key of the grouping, so one shuffle of the lines serves both, and
     lines of requests that were not sent are neither grouped nor moved on. A hot request's
     lines are counted before that shuffle only by a join that Spark broadcasts; else Spark
     splits the join.
     """
-    asked = sent.select(F.col("solicitud").alias("asked")).distinct()
+    asked = sent.where(F.col(measure).isNotNull())
+    asked = asked.select(F.col("solicitud").alias("asked")).distinct()
     lines = lines.join(asked, F.col("Solicitud") == F.col("asked"), "left_semi")
     return lines.groupBy(F.col("Solicitud").alias("dsm_id")).agg(
         F.count("*").alias("dsm_n"), F.sum("montoDesembolsar").alias("dsm_monto")
@@ -371,9 +376,18 @@ def disbursement_totals(
         .groupBy("as_of", "solicitud")
         .agg(F.count("*").alias("dre_n"))
     )
+    df = _disbursement_amounts(t, sent, p)
+    return _disbursement_row(
+        totals_per_date(df, cal.frame, *_disbursement_sums()), p, with_as_of
+    )
+
+
+def _disbursement_amounts(t: Tables, sent: DataFrame, p: Profile) -> DataFrame:
+    """`sent` (keys, solicitud, dre_n) with the amounts of each request and its line count."""
+    c = F.col
     cases = _case_keys(t, "DatosFactura", "Seguros", "InformaciondeEstudio", "Operaciones")
     df = lookup(sent, cases, "solicitud", "caso")
-    lines = _lines_per_request(t["desembolso"], sent)
+    lines = _lines_per_request(t["desembolso"], sent, "dre_n")
     df = lookup(df, lines, "solicitud", "dsm_id")
     invoice = t["datosfactura"].select("idDatosFactura", "ValorAccesoriosFactura")
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
@@ -386,23 +400,25 @@ def disbursement_totals(
         (insurance, "ori_Seguros", "idSeguros", p.totals_insurance_join),
     ):
         df = lookup(df, table, case_column, key, how)
+    return df
 
+
+def _disbursement_sums() -> tuple[dict[str, Column], dict[str, Column]]:
+    """Guarded and unguarded sums over the rows of `_disbursement_amounts`."""
+    c = F.col
     pairs = c("dre_n") * c("dsm_n")
-    sums = totals_per_date(
-        df,
-        cal.frame,
-        guarded={
-            "financed": weighted_sum(c("MontoaFinanciarSinSeguros"), pairs),
-            "subsidy": weighted_sum(c("ValorSubvecionado"), pairs),
-            "maintenance": weighted_sum(c("iValorMantenimiento"), pairs),
-            "accessories": weighted_sum(c("ValorAccesoriosFactura"), pairs),
-            "bonus": weighted_sum(c("BonoAstara"), pairs),
-        },
-        unguarded={
-            "total": weighted_sum(c("dsm_monto"), c("dre_n"), guard=False)
-        },
-    )
-    nc = p.null_concat
+    guarded = {
+        "financed": weighted_sum(c("MontoaFinanciarSinSeguros"), pairs),
+        "subsidy": weighted_sum(c("ValorSubvecionado"), pairs),
+        "maintenance": weighted_sum(c("iValorMantenimiento"), pairs),
+        "accessories": weighted_sum(c("ValorAccesoriosFactura"), pairs),
+        "bonus": weighted_sum(c("BonoAstara"), pairs),
+    }
+    return guarded, {"total": weighted_sum(c("dsm_monto"), c("dre_n"), guard=False)}
+
+
+def _disbursement_row(sums: DataFrame, p: Profile, with_as_of: bool) -> DataFrame:
+    c = F.col
     out = sums.select(
         "as_of",
         dollar(num_text(c("financed"))).alias("VLRFINANCIARVEHICULO"),
@@ -410,7 +426,7 @@ def disbursement_totals(
         money_text(c("maintenance")).alias("MANTENIMIENTO_PREPAGADO"),
         dollar(num_text(c("accessories"))).alias("VLRACCESORIOS"),
         dollar(money_text(c("bonus"))).alias("BONO_POLIZA"),
-        dollar(num_text(c("total")), nc).alias("TOTALDESEMBOLSO"),
+        dollar(num_text(c("total")), p.null_concat).alias("TOTALDESEMBOLSO"),
     )
     layout = _layout(DISBURSEMENT_TOTALS, DISBURSEMENT_TOTALS_WIDTH)
     return _finish(positional(out, layout, DISBURSEMENT_TOTALS_LABEL, ""), p, with_as_of)
@@ -433,10 +449,22 @@ def transfer_totals(
         .groupBy("as_of", "solicitud")
         .agg(weighted_sum(F.abs(c("montoDesembolsar"))).alias("sent"))
     )
-    lines = _lines_per_request(t["desembolso"], sent)
-    df = lookup(sent, lines, "solicitud", "dsm_id")
-    sums = totals_per_date(df, cal.frame, {"total": weighted_sum(c("sent"), c("dsm_n"))}, {})
-    out = sums.select("as_of", dollar(num_text(c("total"))).alias("VLRGIRAR"))
+    df = _transfer_amounts(t, sent)
+    return _transfer_row(totals_per_date(df, cal.frame, *_transfer_sums()), p, with_as_of)
+
+
+def _transfer_amounts(t: Tables, sent: DataFrame) -> DataFrame:
+    """`sent` (keys, solicitud, sent) with the line count of each request."""
+    lines = _lines_per_request(t["desembolso"], sent, "sent")
+    return lookup(sent, lines, "solicitud", "dsm_id")
+
+
+def _transfer_sums() -> tuple[dict[str, Column], dict[str, Column]]:
+    return {"total": weighted_sum(F.col("sent"), F.col("dsm_n"))}, {}
+
+
+def _transfer_row(sums: DataFrame, p: Profile, with_as_of: bool) -> DataFrame:
+    out = sums.select("as_of", dollar(num_text(F.col("total"))).alias("VLRGIRAR"))
     layout = _layout(TRANSFER_TOTALS, TRANSFER_TOTALS_WIDTH)
     return _finish(positional(out, layout, TRANSFER_TOTALS_LABEL, ""), p, with_as_of)
 

@@ -274,3 +274,22 @@ def test_order_with_one_sort_value_uses_many_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert len(sizes) >= 2 and max(sizes.values()) < 15000
+
+
+def test_totals_read_the_sendings_once(spark, holidays, tmp_path):
+    t = dict(relations(spark, rows()))
+    t["desembolsorelacion"].write.parquet(str(tmp_path / "envios"))
+    t["desembolsorelacion"] = spark.read.parquet(str(tmp_path / "envios"))
+    cal = report_calendar(spark, [AS_OF], holidays)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = [spark.conf.get(k) for k in keys]
+    for key, value in zip(keys, ("-1", "false"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        for report in (disbursement_totals, transfer_totals):
+            for profile in ("v1", "v2"):
+                text = plan(report(t, cal, profile), "simple")
+                assert text.count("FileScan parquet") == 1 and "ReusedExchange" in text
+    finally:
+        for key, value in zip(keys, old, strict=True):
+            spark.conf.set(key, value)
