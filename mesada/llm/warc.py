@@ -2,8 +2,9 @@
 
 Every record is a gzip member of its own. Writing returns an index with the file, offset,
 length, URL and digest of each record; it is stored beside the archives and names only files of
-tasks that were committed, so files of failed attempts are never read. Reading sorts the
-selected index rows by file and offset, merges neighbouring ranges, and fetches each merged
+tasks that were committed, so files of failed attempts are never read. The index also holds
+the pages' ids in their own type; records name them as text, and reading compares the two. It
+sorts the selected index rows by file and offset, merges neighbouring ranges, and fetches each merged
 range once. Files are reached through pyarrow's file systems, by the folder's URI.
 """
 
@@ -15,6 +16,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,9 +27,8 @@ ROLL = 64 << 20  # bytes after which a task starts another file
 GAP = 64 << 10  # bytes not asked for that a merged range may hold between two records
 RANGE = 8 << 20  # bytes of a merged range, unless one record is longer
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-INDEX = "path string, offset long, length long, url string, digest string, type string"
+INDEX = ("path", "offset", "length", "url", "digest", "type", "id", "refers_to")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
-_PAGE = re.compile(r"<urn:x-page:(-?[0-9]*):")
 
 
 def payload_digest(payload: bytes) -> str:
@@ -42,7 +43,7 @@ def _record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def _name(page, digest: str) -> str:
-    return f"<urn:x-page:{'' if page is None else page}:{digest}>"
+    return f"<urn:x-page:{'' if page is None else quote(str(page), safe='')}:{digest}>"
 
 
 def page_record(page, url: str | None, payload: bytes, refers_to, revisit: bool, date: str):
@@ -137,8 +138,8 @@ def write_warc(
     """Archives of pages in ``folder``, a URI that all executors reach, and their index.
 
     One record per row: a null payload is empty, a null URL is left out, a null id is written
-    without a number, repeated rows have records of their own. An empty table writes an empty
-    index and no archive.
+    without a name, repeated rows have records of their own. Ids may be of any simple type. An
+    empty table writes an empty index and no archive.
     """
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
@@ -146,6 +147,7 @@ def write_warc(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer(folder, date)
         for batch in batches:
+            ids, others = batch.column(0), batch.column(3)
             made: list[tuple] = []
             for page, url, payload, other, revisit in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
@@ -156,25 +158,29 @@ def write_warc(
             if batch.num_rows:
                 kinds = (pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 3)
                 cols = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)]
-                names = ["path", "offset", "length", "url", "digest", "type"]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                yield pa.RecordBatch.from_arrays([*cols, ids, others], names=list(INDEX))
         writer.close()
 
     rows = with_originals(pages, id_col, url_col, payload_col, least_bytes)
-    rows.mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
+    kind = dict(rows.dtypes)["id"]
+    schema = (
+        "path string, offset long, length long, url string, digest string, type string, "
+        f"id {kind}, refers_to {kind}"
+    )
+    rows.mapInArrow(run, schema).write.parquet(f"{folder}/index")
 
 
-def merged_ranges(rows: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, list]]:
-    """(path, [(offset, length), ...]) of neighbouring records, from rows sorted by place."""
+def merged_ranges(rows: Iterator[tuple]) -> Iterator[tuple[str, list[tuple]]]:
+    """(path, [(offset, length, ...), ...]) of neighbouring records, from rows sorted by place."""
     path, held = None, []
-    for name, offset, length in rows:
+    for name, offset, length, *more in rows:
         if held:
             end = held[-1][0] + held[-1][1]
             if name != path or offset - end > GAP or offset + length - held[0][0] > RANGE:
                 yield path, held
                 held = []
         path = name
-        held.append((offset, length))
+        held.append((offset, length, *more))
     if held:
         yield path, held
 
@@ -188,32 +194,25 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["content-length"])]
 
 
-def _page_number(name: str | None) -> int | None:
-    found = _PAGE.match(name or "")
-    return int(found[1]) if found and found[1] else None
-
-
-def _read_page(data: bytes) -> tuple:
+def _read_page(data: bytes, page, other) -> tuple:
+    """A record's columns; ``page`` and ``other`` are what the index says of its ids."""
     headers, block = parse_record(data)
     head, _, payload = block.partition(b"\r\n\r\n")
     length = int(re.search(rb"(?i)\r\ncontent-length: ([0-9]+)", head)[1])
     digest = headers["warc-payload-digest"].removeprefix("sha1:")
-    kind = headers["warc-type"]
+    kind, name = headers["warc-type"], headers["warc-record-id"]
     if kind == "response" and (len(payload) != length or payload_digest(payload) != digest):
-        raise ValueError(f"record {headers['warc-record-id']} is damaged")
-    return (
-        _page_number(headers["warc-record-id"]),
-        headers.get("warc-target-uri"),
-        length,
-        digest,
-        kind,
-        _page_number(headers.get("warc-refers-to")),
-        payload if kind == "response" else None,
-    )
+        raise ValueError(f"record {name} is damaged")
+    refers = None if kind == "response" else _name(other, digest)
+    if name != _name(page, digest) or headers.get("warc-refers-to") != refers:
+        raise ValueError(f"record {name} is not the one that the index names")
+    url = headers.get("warc-target-uri")
+    return page, url, length, digest, kind, other, payload if kind == "response" else None
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(INDEX).parquet(f"{folder}/index")
+    """(path, offset, length, url, digest, type, id, refers_to) of every record."""
+    return spark.read.parquet(f"{folder}/index").select(*INDEX)
 
 
 def read_warc(selected: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
@@ -224,30 +223,34 @@ def read_warc(selected: DataFrame, folder: str, payloads: bool = True) -> DataFr
     """
     parts = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The number is given: merging partitions by the index's few bytes would leave few readers.
-    placed = selected.select("path", "offset", "length").repartition(parts, "path")
-    placed = placed.sortWithinPartitions("path", "offset")
-    schema = (
-        "id long, url string, payload_bytes long, payload_digest string, record_type string, "
-        "refers_to long"
-    ) + (", payload binary" if payloads else "")
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    kinds += [pa.binary()] * payloads
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+    placed = selected.select("path", "offset", "length", "id", "refers_to")
+    placed = placed.repartition(parts, "path").sortWithinPartitions("path", "offset")
+    kind = dict(selected.dtypes)["id"]
+    names = ["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    schema = ", ".join(
+        f"{n} {k}" for n, k in zip(names, (kind, "string", "long", "string", "string", kind))
+    )
+    if payloads:
+        names, schema = [*names, "payload"], schema + ", payload binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = fs.FileSystem.from_uri(folder)
-        names = [f.split(" ")[0] for f in schema.split(", ")]
-        for path, places in merged_ranges(rows(batches)):
+        own: list = []
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                own[:] = [batch.schema.field("id").type]
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        for path, places in merged_ranges(rows()):
             first = places[0][0]
             with files.open_input_file(f"{root}/{path}") as source:
                 data = source.read_at(places[-1][0] + places[-1][1] - first, first)
-            made = [_read_page(data[o - first : o - first + n]) for o, n in places]
-            cols = zip(*made, strict=True)
+            made = [_read_page(data[o - first : o - first + n], *ids) for o, n, *ids in places]
+            kinds = [own[0], pa.string(), pa.int64(), pa.string(), pa.string(), own[0], pa.binary()]
+            columns = list(zip(*made, strict=True))[: len(names)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=False)], names=names
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names
             )
 
     return placed.mapInArrow(run, schema)

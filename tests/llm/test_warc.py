@@ -2,6 +2,7 @@ import base64
 import hashlib
 import uuid
 
+import pytest
 from pyarrow import fs
 
 from mesada.llm import warc
@@ -94,3 +95,35 @@ def test_every_record_is_a_gzip_member_with_warc_headers(tmp_path):
     assert headers["warc-type"] == "response" and headers["warc-payload-digest"] == f"sha1:{digest}"
     assert block.endswith(b"\r\n\r\nbody")
     assert warc.parse_record(data[:offset])[0]["warc-type"] == "warcinfo"
+
+
+def test_text_ids_come_back_as_they_are(spark, tmp_path):
+    pages = [
+        ("a/1 ü:>", "u", "same"), ("b", "u", "same"), ("", "u", "other"), (None, "u", "same"),
+        ("007", "u", None), ("b", "u", "same"), ("null", "u", "x"),
+    ]
+    df = spark.createDataFrame(pages, "page_id string, url string, html string").repartition(3)
+    folder = f"file://{tmp_path}/{uuid.uuid4().hex}"
+    warc.write_warc(df, folder)
+    index = warc.read_index(spark, folder)
+    assert dict(index.dtypes)["id"] == "string"
+    got = warc.read_warc(index, folder, payloads=False)
+    columns = ["id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(map(tuple, got.select(columns).collect()), key=str) == expected(pages)
+    # Ids of another record than the one the index points to are not passed on.
+    wrong = index.where("id = '007'").selectExpr("* except (id)", "'b' AS id")
+    with pytest.raises(Exception, match="not the one that the index names"):
+        warc.read_warc(wrong, folder).collect()
+
+
+def test_other_types_of_ids(spark, tmp_path):
+    df = spark.sql(
+        "select * from values (date'2024-01-02', 'u', 'a'), (date'2024-01-03', 'u', 'a'),"
+        " (null, null, 'b') as t(page_id, url, html)"
+    )
+    folder = f"file://{tmp_path}/{uuid.uuid4().hex}"
+    warc.write_warc(df, folder)
+    got = warc.read_warc(warc.read_index(spark, folder), folder).collect()
+    assert {(str(r["id"]), str(r["refers_to"])) for r in got} == {
+        ("2024-01-03", "None"), ("2024-01-02", "2024-01-03"), ("None", "None"),
+    }
