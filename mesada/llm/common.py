@@ -17,11 +17,23 @@ AT_ONCE = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a fresh one only where unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or the one set in the context.
+
+    A fresh local folder stands in where neither is set, as in tests, but only on one machine:
+    on a cluster, executors would not see each other's files, so that is refused.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if found is None:
+        found = spark.sparkContext.getCheckpointDir()
+    if found is None and not _one_machine(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return found or tempfile.mkdtemp(prefix="checkpoint-")
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage: rows are written to the shared folder and read back from there."""
     context = df.sparkSession.sparkContext
