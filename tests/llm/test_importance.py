@@ -1,11 +1,21 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-
-from mesada.llm.importance import features, importance_sample, kth_largest, model_counts
+from pyspark.sql import functions as F
+
+from mesada.llm.importance import (
+    PAIR_WEIGHT,
+    features,
+    gumbel,
+    importance_sample,
+    kth_largest,
+    model_counts,
+    with_target,
+)
 from mesada.llm.words import words_of
 from tests.llm.brute import words
 
@@ -50,7 +60,11 @@ def test_kth_largest_without_enough(spark):
 def test_counts_of_both_models(spark, docs, rows):
     from mesada.llm.common import id_and_text
 
-    own, raw = model_counts(id_and_text(docs, "doc_id", "text"), [0, 3, 12])
+    labels = spark.createDataFrame(
+        [(0, 1, 0), (3, 1, 0), (3, 1, 0), (12, 1, 0), (5, 1, 1), (6, 0, 0), (None, 1, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    own, raw = model_counts(with_target(id_and_text(docs, "doc_id", "text"), labels, 50))
     size = lambda t: max(0, 2 * len(words(t or "")) - 1)
     assert raw.sum() == sum(size(t) for _, t, *_ in rows)
     assert own.sum() == sum(size(t) for i, t, *_ in rows if i in (0, 3, 12))
@@ -101,3 +115,55 @@ def test_empty_and_clashing(empty, clashing, spark):
     assert len(got) == clashing.count()
     assert all(r["kept"] == (r["n_features"] > 0) for r in got)
     assert np.isfinite([r["key"] for r in got if r["key"] is not None]).all()
+
+
+def plain_sample(rows, target, share, noise, scale=100.0):
+    """(log weight, key, kept) by the definition; words and pairs are texts here, not buckets."""
+    def parts(text):
+        found = words(text or "")
+        return [Counter(found), Counter(zip(found, found[1:], strict=False))]
+
+    ratios = []
+    for kind in (0, 1):
+        raw, own = Counter(), Counter()
+        for ident, text in rows:
+            raw += parts(text)[kind]
+            if ident in target:
+                own += parts(text)[kind]
+        buckets = 1 << 18
+        n_own, n_raw = sum(own.values()) + buckets, sum(raw.values()) + buckets
+        ratios.append({f: math.log((own[f] + 1) / n_own) - math.log((raw[f] + 1) / n_raw) for f in raw})
+    out = []
+    for ident, text in rows:
+        one, two = parts(text)
+        size = sum(one.values()) + PAIR_WEIGHT * sum(two.values())
+        total = sum(n * ratios[0][f] for f, n in one.items())
+        total += PAIR_WEIGHT * sum(n * ratios[1][f] for f, n in two.items())
+        out.append(scale * total / size if size else None)
+    keys = [None if w is None else w + noise[i] for w, (i, _) in zip(out, rows, strict=True)]
+    full = sorted((k for k in keys if k is not None), reverse=True)
+    last = full[round(share * len(full)) - 1]
+    return [(w, k, k is not None and k >= last - 1e-9) for w, k in zip(out, keys, strict=True)]
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_weight_key_and_verdict_against_brute_force(spark, kind):
+    r = random.Random(8)
+    rows = [(k, " ".join(f"w{int(r.paretovariate(0.6)) % 12}" for _ in range(r.randrange(40)))) for k in range(120)]
+    rows = [(k if kind == "long" else f"doc-{k}", t) for k, t in rows] + [(None, "w1 w2 w3")]
+    ids = [i for i, _ in rows if i is not None]
+    target = set(ids[:40])
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3)
+    marks = [(i, 1, 0) for i in target] + [(i, 0, 0) for i in ids[60:80]]
+    labels = spark.createDataFrame(marks, f"doc_id {kind}, quality int, toxic int")
+    got = {x["id"]: x for x in importance_sample(docs, labels).collect()}
+    noise = docs.select("doc_id", gumbel(F.col("doc_id"), 11).alias("g")).collect()
+    want = plain_sample(rows, target, 40 / 60, {x["doc_id"]: x["g"] for x in noise})
+    assert len(got) == len(rows)
+    for (ident, _), (weight, key, kept) in zip(rows, want, strict=True):
+        row = got[ident]
+        if weight is None:
+            assert row["log_weight"] is None and row["key"] is None and not row["kept"]
+            continue
+        assert math.isclose(row["log_weight"], weight, abs_tol=1e-6)
+        assert math.isclose(row["key"], key, abs_tol=1e-6) and row["kept"] == kept
