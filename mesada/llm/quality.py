@@ -3,8 +3,9 @@
 Each rule rejects a text whose signal is over a cutoff. For every stratum the labelled good
 texts are counted above each cutoff of a fixed grid; a cutoff may be used if the exact binomial
 (Clopper-Pearson) upper bound of its false rejection rate is at most ``alpha`` / rules, at the
-level ``delta`` / (strata x rules x cutoffs) (Bonferroni), and the lowest such cutoff is taken.
-So with probability 1 - ``delta`` no stratum loses more than ``alpha`` of its good texts to the
+level ``delta`` / (strata x rules x cutoffs) (Bonferroni). Of these cutoffs the highest that
+rejects at least 99 % as many labelled bad texts as any of them is taken. Exact copies of a text
+count once, since the bound is one of independent texts. So with probability 1 - ``delta`` no stratum loses more than ``alpha`` of its good texts to the
 chosen rules together. A rule with no such cutoff stays off in that stratum.
 """
 
@@ -207,15 +208,20 @@ def base_failed(m: str) -> Column:
 def cutoffs(
     measured: DataFrame, labels: DataFrame, m: str, alpha: float, delta: float
 ) -> list[tuple]:
-    """Cutoffs from every labelled text of measured (id, stratum, m) that passes the base.
+    """Cutoffs from every distinct labelled text of measured that passes the base.
 
     The driver gets one row of counts for each stratum: strata (languages) must be few.
     """
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id"))
     known = known.agg(F.min("quality").alias("quality"))
     held = measured.where(~base_failed(m) & F.col("stratum").isNotNull()).join(known, "id")
+    # One of each text of a stratum; of its copies' differing labels the lower counts.
+    signals = [signal(rule, m).alias(rule) for rule in RULES]
+    held = held.groupBy("stratum", "same").agg(
+        F.min("quality").alias("quality"), F.first(F.struct(*signals)).alias("s")
+    )
     counts = [
-        F.count_if((F.col("quality") == q) & (signal(rule, m) > cut)).alias(f"{name}_{rule}_{j}")
+        F.count_if((F.col("quality") == q) & (F.col(f"s.{rule}") > cut)).alias(f"{name}_{rule}_{j}")
         for q, name in ((1, "good"), (0, "bad"))
         for rule in RULES
         for j, cut in enumerate(GRID)
@@ -238,10 +244,12 @@ _STRUCT = "struct<" + ", ".join(f"{f}: bigint" for f in FIELDS) + ">"
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
-    """(id, stratum, m) of docs: the measures without the texts."""
+    """(id, stratum, same, m) of docs: the measures without the texts, and a hash of each."""
+    text = F.col(f"`{text_col}`")
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{stratum_col}`").cast("string").alias("stratum"),
+        F.struct(F.xxhash64(text), F.xxhash64(F.lit(1), text)).alias("same"),
         F.col(f"`{text_col}`").alias("text"),
     )
     return map_text(rows, "text", measure, f"m {_STRUCT}", drop_text=True)

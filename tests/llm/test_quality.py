@@ -91,3 +91,15 @@ def test_stage_keeps_columns(clashing, empty, labels):
     assert out.columns == clashing.columns and out.count() > 0
     assert keep_quality(empty, labels).count() == quality_rules(empty, labels).count() == 0
     assert quality_rules(clashing, labels.limit(0)).count() == clashing.count()
+
+
+def test_copies_of_a_labelled_text_count_once(spark):
+    """300 copies of one good text with symbols are one exception, not 300."""
+    good = [(k, " ".join(f"w{k}x{j}" for j in range(30)), "en") for k in range(700)]
+    copies = [(2_000 + k, " ".join(f"v{j} ##" for j in range(30)), "en") for k in range(300)]
+    bad = [(1_000 + k, " ".join(f"w{k}*{j} ##" for j in range(30)), "en") for k in range(50)]
+    docs = spark.createDataFrame([*good, *copies, *bad], "doc_id long, text string, lang string")
+    marks = [(k, 1, 0) for k, *_ in [*good, *copies]] + [(k, 0, 0) for k, *_ in bad[:40]]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in keep_quality(docs, labels).collect()}
+    assert kept == {k for k, *_ in good}
