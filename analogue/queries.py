@@ -32,7 +32,7 @@ from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import cutoff_filter, month_gate, type_filter, weekday_guard
 from mesada.operators.lookups import bridge_lookup, lookup
 from mesada.operators.ordering import order_by_ordinal
-from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children
+from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children, ranked_fold
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.plans.parts import DISBURSEMENT, TRANSFER, totals_from_parts, write_partial_totals
 from mesada.profiles import PROFILES, get_profile
@@ -495,15 +495,29 @@ def _ranked(spark, sf_dir):
 def _ranked_fold(style):
     def fn(spark, sf_dir):
         orders = table(spark, sf_dir, "orders").select("o_orderkey")
-        kids = _children(spark, sf_dir).select(
-            "DatosFactura",
-            fold_ranked(c("children"), "Operacionacancelar", "valorcruce", style).alias("cuenta"),
-        )
+        kids = ranked_fold(
+            relations(spark, sf_dir)["informacionpm"], ["DatosFactura"], ["idInformacionPM"],
+            "Operacionacancelar", "valorcruce", style, out="cuenta",
+        )
         return lookup(orders, kids, "o_orderkey", "DatosFactura", "left")
 
     return fn
 
 
+def _array_fold(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    kids = _children(spark, sf_dir).select(
+        "DatosFactura",
+        fold_ranked(c("children"), "Operacionacancelar", "valorcruce").alias("cuenta"),
+    )
+    return lookup(orders, kids, "o_orderkey", "DatosFactura", "left")
+
+
+query(
+    "ranked_fold_of_arrays",
+    o.ctes(o.rel("informacionpm"), o.folded("plain"))
+    + "SELECT o_orderkey, ranked AS cuenta FROM orders LEFT JOIN plegado ON k = o_orderkey",
+)(_array_fold)
 for _name, _style in (("ranked_fold", "plain"), ("ranked_fold_draft", "grouped")):
     query(
         _name,

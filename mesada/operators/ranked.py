@@ -90,6 +90,49 @@ def fold_ranked(
     return text(head, F.array_join(tail, ""))
 
 
+def ranked_fold(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], op: str, value: str,
+    style: str = "plain", null_concat: bool = False, n: int = MAX_CHILDREN,
+    first: Sequence[str] = (), out: str = "folded",
+) -> DataFrame:
+    """One row per parent with the folded text of its first `n` children.
+
+    The text is that of `fold_ranked` over `ranked_children`; `first` names columns of the first
+    child that are passed on. Rank, following operation and the list of later texts are windows
+    over one shuffle and one sort of the children, so each child's text is made by generated
+    code, row by row, and no second grouping is needed.
+    """
+
+    def text(*parts: Column) -> Column:
+        return concat_text(*parts, null_concat=null_concat)
+
+    keyed = df.select(*dict.fromkeys([*part, *order, op, value, *first]))
+    for p in part:
+        keyed = keyed.filter(F.col(p).isNotNull())
+    ranked = with_rank(keyed, part, order).filter(F.col("conteo") <= n)
+    keys = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_last() for o in order])
+    ranked = ranked.withColumn("siguiente", F.lead(op).over(keys))
+    sign, follows = F.lit(AMOUNT_SIGN), F.col("siguiente").isNotNull()
+    head_amount = _amount(F.when(follows, F.col(value)).otherwise(nvl(F.col(value), 0)), style)
+    ends = text(sign, head_amount, F.lit(FIRST_SEPARATOR))
+    amount = text(sign, _amount(nvl(F.col(value), 0), style))
+    leads = F.col("conteo") == 1
+    piece = F.when(
+        leads, text(F.col(op), F.when(follows, ends).otherwise(without(ends, SEPARATOR)))
+    ).otherwise(
+        text(
+            nvl(F.col(op), ""),
+            without(amount, ZERO_AMOUNT[style]),
+            F.when(follows, F.lit(SEPARATOR)).otherwise(F.lit("")),
+        )
+    )
+    made = ranked.select(*dict.fromkeys([*part, *order, *first]), "conteo", piece.alias("trozo"))
+    whole = keys.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = F.collect_list(F.when(~leads, F.col("trozo"))).over(whole)
+    made = made.withColumn("resto", later).filter(leads)
+    return made.select(*part, *first, text(F.col("trozo"), F.array_join("resto", "")).alias(out))
+
+
 def fold_fixed(
     ops: Sequence[Column], values: Sequence[Column], style: str = "plain",
     null_concat: bool = False,

@@ -42,7 +42,7 @@ from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import month_gate, type_filter
 from mesada.operators.lookups import SPREAD, bridge_lookup, lookup, with_spread
 from mesada.operators.ordering import order_by_ordinal
-from mesada.operators.ranked import account_number, fold_fixed, fold_ranked, ranked_children
+from mesada.operators.ranked import account_number, fold_fixed, ranked_fold
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.profiles import Profile, get_profile
 
@@ -262,10 +262,15 @@ def transfer_detail(
     study = t["informacionestudio"].select("idInformacionestudio", "ValorSubvecionado")
     insurance = t["seguros"].select("idSeguros", "BonoAstara", "bMantenimientoPrepagado")
     # Children hang on the invoice row, so a request without one has none.
-    children = ranked_children(
-        t["informacionpm"], ["DatosFactura"], ["idInformacionPM"],
-        ["idInformacionPM", "Operacionacancelar", "valorcruce"],
-    ).withColumnRenamed("DatosFactura", "pm_factura")
+    children = ranked_fold(
+        t["informacionpm"], ["DatosFactura"], ["idInformacionPM"], "Operacionacancelar",
+        "valorcruce", p.money_style, nc, first=["idInformacionPM", "Operacionacancelar"],
+        out="ranked",
+    )
+    children = children.select(
+        c("DatosFactura").alias("pm_factura"), c("idInformacionPM").alias("pm1_id"),
+        c("Operacionacancelar").alias("pm1_op"), "ranked",
+    )
     invoice = lookup(invoice, children, "idDatosFactura", "pm_factura", "left")
 
     req = lookup(req, ope, "ori_Operaciones", "idOperaciones", "left")
@@ -288,20 +293,10 @@ def transfer_detail(
         (c("ori_DatosFactura") == c("idDatosFactura")) & (c(SPREAD) == c("fac_spread")),
         "left",
     )
-    # The texts that depend on the request alone are built once per request.
-    pm = c("children")
     req = req.select(
-        "caso",
-        "planmayor",
-        "fixed",
-        "ValorAccesoriosFactura",
-        "ValorSubvecionado",
-        "BonoAstara",
-        "bMantenimientoPrepagado",
-        F.get(pm, F.lit(0))["idInformacionPM"].alias("pm1_id"),
-        F.get(pm, F.lit(0))["Operacionacancelar"].alias("pm1_op"),
-        fold_ranked(pm, "Operacionacancelar", "valorcruce", p.money_style, nc).alias("ranked"),
-    )
+        "caso", "planmayor", "fixed", "ValorAccesoriosFactura", "ValorSubvecionado", "BonoAstara",
+        "bMantenimientoPrepagado", "pm1_id", "pm1_op", "ranked",
+    )
 
     df = sent.join(req, c("solicitud") == c("caso"), "left")  # J19
     prepaid = is_prepaid(c("bMantenimientoPrepagado"), c("IdDesembolsoDetalle"))

@@ -10,6 +10,7 @@ from mesada.operators.ranked import (
     fold_fixed,
     fold_ranked,
     ranked_children,
+    ranked_fold,
     with_rank,
 )
 
@@ -20,7 +21,11 @@ def fold(spark, children, style="plain", n=2):
     df = spark.createDataFrame(children, DDL).repartition(n)
     kids = ranked_children(df, ["parent"], ["id"], ["id", "op", "amount"])
     rows = kids.select("parent", fold_ranked(F.col("children"), "op", "amount", style)).collect()
-    return {r[0]: r[1] for r in rows}
+    out = {r[0]: r[1] for r in rows}
+    windows = ranked_fold(df, ["parent"], ["id"], "op", "amount", style, first=["id", "op"])
+    assert windows.columns == ["parent", "id", "op", "folded"]
+    assert {r[0]: r[3] for r in windows.collect()} == out  # both forms make the same texts
+    return out
 
 
 def one(spark, *pairs, style="plain"):
@@ -156,3 +161,34 @@ def test_spread_keeps_matches_and_scatters_missing_keys(spark):
     spread = left.join(right, (left.k == right.rk) & (left[SPREAD] == right.rs), "left")
     assert spread.count() == 300
     assert spread.filter("rk is not null").count() == plain == 100
+
+
+@pytest.mark.parametrize("style", ["plain", "grouped"])
+@pytest.mark.parametrize("null_concat", [False, True])
+def test_both_forms_of_the_fold_are_equal(spark, style, null_concat):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(1500):
+        op = rnd.choice([None, "", "81", "98"])
+        amount = rnd.choice([None, D(0), D(10**15), D(rnd.randrange(-99999, 99999)) / 100])
+        rows.append((rnd.randrange(200), i, op, amount))
+    df = spark.createDataFrame(rows, DDL).repartition(3)
+    kids = ranked_children(df, ["parent"], ["id"], ["id", "op", "amount"])
+    first = F.get(F.col("children"), F.lit(0))
+    want = kids.select(
+        "parent", first["id"], first["op"],
+        fold_ranked(F.col("children"), "op", "amount", style, null_concat),
+    )
+    got = ranked_fold(df, ["parent"], ["id"], "op", "amount", style, null_concat, first=["id", "op"])
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_fold_needs_one_shuffle_one_sort_and_no_lambda(spark):
+    df = spark.range(0, 1000, 1, 4).selectExpr(
+        "id % 50 parent", "id", "cast(id as string) op", "cast(id as decimal(18,2)) amount"
+    )
+    folded = ranked_fold(df, ["parent"], ["id"], "op", "amount")
+    text = folded._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "lambda" not in text and "Aggregate" not in text
+    # One sort for the limit in each map task, one for all windows.
+    assert text.count("Sort [") == 2 and text.count("WindowGroupLimit") == 2
