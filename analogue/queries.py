@@ -25,8 +25,16 @@ from mesada import (
 )
 from mesada.functions import labels, text
 from mesada.functions.cutoff import cutoff_label
+from mesada.functions.masks import date_text, number_text
 from mesada.functions.sql import create_sql_functions
-from mesada.functions.dates import add_months_keep_end, ddmmyyyy, month_name, yymmdd, yyyymm
+from mesada.functions.dates import (
+    MONTH_NAMES,
+    add_months_keep_end,
+    ddmmyyyy,
+    month_name,
+    yymmdd,
+    yyyymm,
+)
 from mesada.operators.calendar import business_calendar, holiday_or_epoch, last_business_day
 from mesada.operators.distinct import distinct_rows
 from mesada.operators.gate import cutoff_filter, month_gate, type_filter, weekday_guard
@@ -755,6 +763,54 @@ def _remarks(spark, sf_dir):
     )
 
 
+# -- masks --------------------------------------------------------------------------------
+
+
+@query(
+    "number_masks",
+    """WITH x AS (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) AS v,
+  CAST(round(CAST(c_acctbal AS DECIMAL(18,2)), 0) AS BIGINT) AS n FROM customer)
+SELECT c_custkey, format('{:,.2f}', CAST(v AS DOUBLE)) AS agrupado,
+  CASE WHEN abs(n) >= 1000 THEN '####'
+    ELSE lpad(CASE WHEN n < 0 THEN '-' ELSE '' END || CAST(abs(n) AS VARCHAR), 4, ' ') END AS tres,
+  lpad(CASE WHEN n < 0 THEN '-' ELSE '' END || lpad(CAST(abs(n) AS VARCHAR), 6, '0'), 7, ' ') AS ceros,
+  lpad(CASE WHEN v < 0 THEN '-' ELSE '' END || '$' || replace(replace(replace(
+    format('{:,.2f}', CAST(abs(v) AS DOUBLE)), ',', ';'), '.', ','), ';', '.'), 14, ' ') AS pesos
+FROM x""",
+)
+def _number_masks(spark, sf_dir):
+    v = c("c_acctbal").cast("decimal(18,2)")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        number_text(v, "FM999G999G990D00").alias("agrupado"),
+        number_text(v, "999").alias("tres"),
+        number_text(v, "000000").alias("ceros"),
+        number_text(v, "$9G999G990D00", ",", ".").alias("pesos"),
+    )
+
+
+_MONTHS_SQL = "['" + "','".join(m.capitalize() for m in MONTH_NAMES) + "']"
+
+
+@query(
+    "date_masks",
+    f"""SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y %H:%M') AS momento,
+  strftime(o_orderdate, '%y%m%d') AS corto, CAST(dayofweek(o_orderdate) + 1 AS VARCHAR) AS dia,
+  {_MONTHS_SQL}[month(o_orderdate)] || ' de ' || CAST(year(o_orderdate) AS VARCHAR) AS mes,
+  rpad(upper({_MONTHS_SQL}[month(o_orderdate)]), 10, ' ') AS mes_largo FROM orders""",
+)
+def _date_masks(spark, sf_dir):
+    d = c("o_orderdate")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        date_text(d, "DD/MM/YYYY HH24:MI").alias("momento"),
+        date_text(d, "YYMMDD").alias("corto"),
+        date_text(d, "D").alias("dia"),
+        date_text(d, 'FMMonth" de "YYYY').alias("mes"),
+        date_text(d, "MONTH").alias("mes_largo"),
+    )
+
+
 # -- totals -------------------------------------------------------------------------------
 
 _TOTAL_LAYOUT = [None, None, "cantidad", "precio", None, "neto"]
