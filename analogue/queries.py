@@ -44,8 +44,8 @@ from mesada.operators.ranked import fold_fixed, fold_ranked, ranked_children, ra
 from mesada.operators.totals import positional, totals_per_date, weighted_sum
 from mesada.plans.parts import DISBURSEMENT, TRANSFER, totals_from_parts, write_partial_totals
 from mesada.profiles import PROFILES, get_profile
-from mesada.sources.pushdown import pushed_relations
-from mesada.sources.writers import read_report_file, write_report_file
+from mesada.sources.pushdown import only_keys, pushed_relations
+from mesada.sources.writers import read_report_file, write_by_month, write_report_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -915,6 +915,28 @@ for _fn, _sql, _profile in (
     )(_flat_file(_fn, _profile, _MONTH_DAYS))
 
 
+@query(
+    "facts_of_requests",
+    o.ctes(o.rel("desembolsorelacion"))
+    + """SELECT solicitud, count(*) AS n, CAST(sum(montoDesembolsar) AS DOUBLE) AS monto
+FROM desembolsorelacion WHERE solicitud IN (SELECT o_orderkey FROM orders
+  WHERE o_totalprice > (SELECT 0.9 * max(o_totalprice) FROM orders)) GROUP BY solicitud""",
+)
+def _facts_of_requests(spark, sf_dir):
+    """Sendings stored by month and request, of which only some requests are read."""
+    path = f"{_scratch(spark)}/envios"
+    write_by_month(
+        relations(spark, sf_dir)["desembolsorelacion"], path, "fechaenvio", sort_col="solicitud"
+    )
+    orders = table(spark, sf_dir, "orders")
+    high = orders.agg((F.lit(0.9) * F.max("o_totalprice")).alias("alto"))
+    keys = orders.join(high, c("o_totalprice") > c("alto")).select("o_orderkey")
+    rows = only_keys(spark.read.parquet(path), "solicitud", keys)
+    return rows.groupBy("solicitud").agg(
+        F.count("*").alias("n"), F.sum("montoDesembolsar").alias("monto")
+    )
+
+
 def _pushed(fn, profile):
     """The same from relations cut to the months, requests and keys of the report."""
 

@@ -23,6 +23,8 @@ from mesada.sources.readers import JdbcSource, Relations, Source, open_relations
 RANGES = 64
 ACCURACY = 10_000
 NOTHING = "1 = 0"
+#: Most single values of a key that are handed to a scan one by one; fewer than Spark's limit.
+IN_LIST = 10
 
 FACTS, FACT_TIME = "desembolsorelacion", "fechaenvio"
 # Relations keyed by the request itself, and by a column of the request's row.
@@ -121,6 +123,23 @@ def range_predicates(column: str, ranges: Iterable[tuple[int, int, int]]) -> lis
     return made or [NOTHING]
 
 
+def only_keys(df: DataFrame, column: str, keys: DataFrame, most: int = RANGES) -> DataFrame:
+    """The rows of `df` whose `column` is among the values of `keys` (its only column).
+
+    The ranges that the keys lie in, measured first, are a filter on the scan, which so skips
+    row groups and files outside them (`writers.write_by_month` with `sort_col`); up to IN_LIST
+    single values are given to it as such, for Bloom filters to answer. The semi join decides.
+    """
+    (name,) = keys.columns
+    ranges = key_ranges(keys, [name], most)[name]
+    if all(a == b for a, b, _ in ranges) and len(ranges) <= IN_LIST:
+        near = F.col(column).isin(*[a for a, _, _ in ranges]) if ranges else F.lit(False)
+    else:
+        near = F.expr(" OR ".join(f"({p})" for p in range_predicates(f"`{column}`", ranges)))
+    wanted = keys.select(F.col(name).alias("wanted_key")).distinct()
+    return df.where(near).join(wanted, F.col(column) == F.col("wanted_key"), "left_semi")
+
+
 @dataclass(frozen=True)
 class Restricted:
     """A source some of whose relations are read by predicates only.

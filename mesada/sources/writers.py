@@ -123,16 +123,24 @@ def write_by_key(df: DataFrame, table: str, key: str, buckets: int, mode: str =
     )
 
 
-def write_by_month(df: DataFrame, path: str, ts_col: str, mode: str = "errorifexists") -> None:
+def write_by_month(
+    df: DataFrame, path: str, ts_col: str, mode: str = "errorifexists",
+    sort_col: str | None = None, group_bytes: int | None = None,
+) -> None:
     """Store facts by month of `ts_col`, so that a month gate reads only its months.
 
     Rows are rebalanced by month, so months get files of even size: Spark merges small
-    months and splits one that holds most rows.
+    months and splits one that holds most rows. With `sort_col` a file's rows are in its order
+    and every row group has its least and greatest value and a Bloom filter of it, so a read
+    by ranges or values of that column (`pushdown.only_keys`) passes over row groups that
+    hold none of them; `group_bytes` sets their size.
     """
-    (
-        df.withColumn(MONTH_COLUMN, F.trunc(ts_col, "MM"))
-        .hint("rebalance", F.col(MONTH_COLUMN))
-        .write.mode(mode)
-        .partitionBy(MONTH_COLUMN)
-        .parquet(path)
-    )
+    df = df.withColumn(MONTH_COLUMN, F.trunc(ts_col, "MM")).hint("rebalance", F.col(MONTH_COLUMN))
+    if sort_col:
+        df = df.sortWithinPartitions(MONTH_COLUMN, sort_col)
+    writer = df.write.mode(mode).partitionBy(MONTH_COLUMN)
+    if sort_col:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{sort_col}", "true")
+    if group_bytes:
+        writer = writer.option("parquet.block.size", group_bytes)
+    writer.parquet(path)

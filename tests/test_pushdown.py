@@ -15,6 +15,7 @@ from mesada.sources.pushdown import (
     fact_predicates,
     gate_predicate,
     key_ranges,
+    only_keys,
     pushed_relations,
     quantile_points,
     range_predicates,
@@ -22,6 +23,7 @@ from mesada.sources.pushdown import (
     write_points,
 )
 from mesada.sources.readers import FileSource, JdbcSource, open_relations, split_predicates
+from mesada.sources.writers import write_by_month
 
 AS_OF = dt.date(2024, 2, 1)
 GATE = "fechaenvio >= TIMESTAMP '2024-01-01 00:00:00' AND fechaenvio < TIMESTAMP '2024-02-01 00:00:00'"
@@ -150,3 +152,50 @@ def test_ranges_reach_a_file_scan(spark, base, holidays):
     cut = pushed_relations(spark, source, cal, "v1", most=1)
     text = cut["operaciones"]._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(idOperaciones" in text and "LessThanOrEqual(idOperaciones" in text
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The same sendings by month, in order of the request and as they come."""
+    root = tmp_path_factory.mktemp("facts")
+    df = spark.sql("""
+      select (id * 7919) % 100003 * 2 as solicitud, sha2(cast(id as string), 256) as resto,
+        timestamp_ntz'2024-01-01 00:00:00' + (id % 60) * interval '1' day as fechaenvio
+      from range(0, 120000, 1, 6)""")
+    for name, sort in (("sorted", "solicitud"), ("plain", None)):
+        write_by_month(df, str(root / name), "fechaenvio", sort_col=sort, group_bytes=256 << 10)
+    return root
+
+
+def rows_read(df):
+    """Rows that come out of the scan, after row groups are passed over."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    nodes, scans = [plan], []
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            scans.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        nodes += [children.apply(k) for k in range(children.size())]
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            nodes.append(node.plan())
+    return sum(scans)
+
+
+def test_files_sorted_by_request_are_read_in_part(spark, stored):
+    near = spark.range(4_000, 4_400, 2).toDF("k")
+    few = spark.sql("select explode(array(10L, 90000L, 150000L, 150001L, 7L)) k")
+    apart = spark.sql("select explode(array(11L, 13L, 90001L)) k")  # odd: no request has them
+    for keys, share in ((near, 0.15), (few, 0.25), (apart, 0.02)):
+        found = {}
+        for name in ("sorted", "plain"):
+            df = spark.read.parquet(str(stored / name))
+            found[name] = only_keys(df, "solicitud", keys)
+            want = df.join(keys, df["solicitud"] == keys["k"], "left_semi")
+            assert found[name].exceptAll(want).count() == want.exceptAll(found[name]).count() == 0
+        assert rows_read(found["sorted"]) <= share * 120_000 < rows_read(found["plain"])
+    none = only_keys(spark.read.parquet(str(stored / "sorted")), "solicitud", near.limit(0))
+    assert none.count() == 0
