@@ -16,6 +16,7 @@ Words are 64-bit hashes; the context of a pair is known by 48 bits within its wo
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mesada.llm.common import checkpointed, id_and_text
+from mesada.llm.common import checkpointed, id_and_text, shared_dir
 from mesada.llm.trie import PairTrie
 from mesada.llm.words import U, mix, words_of
 
@@ -213,8 +214,12 @@ def shard_scores(
     tokens: int,
     distinct: int,
     mu: float,
+    folder: str,
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each block's (word, context, training count) pairs: score, base score, known flag."""
+    """For each block's (word, context, training count) pairs: score, base score, known flag.
+
+    The trie's levels are written below ``folder`` while it is used.
+    """
     sizes = [len(p[0]) for p in pairs]
     word, before, count = (np.concatenate(c) for c in zip(*pairs, strict=True))
     order = np.lexsort((before, word))
@@ -233,7 +238,7 @@ def shard_scores(
     likely = (single + 0.5) / mass
     seen = np.flatnonzero(count)
     gain = np.log10(1 + count[seen] / (mu * likely[seen]))
-    trie = PairTrie(word[seen], before[seen], gain)
+    trie = PairTrie(word[seen], before[seen], gain, folder)
     try:
         gained = np.nan_to_num(trie.lookup(word, before))
     finally:
@@ -267,6 +272,7 @@ def language_scores(
     kind = dict(rows.dtypes)["id"]
     tokens, distinct, heavy = vocabulary(rows, shards)
     shipped = spark.sparkContext.broadcast(heavy)  # at most HEAVY words
+    folder = f"{shared_dir(spark)}/lm-{uuid.uuid4().hex}"
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.array(sorted(shipped.value), np.int64).view(np.uint64)
@@ -294,7 +300,7 @@ def language_scores(
             (w, b, np.bincount(p, weights=t, minlength=len(w)).astype(np.int64))
             for w, b, p, _, t in unpacked
         ]
-        made = shard_scores(pairs, shipped.value, tokens, distinct, mu)
+        made = shard_scores(pairs, shipped.value, tokens, distinct, mu, folder)
         for number, (_, _, pair, row, _), (s, base, known) in zip(
             block, unpacked, made, strict=True
         ):

@@ -10,23 +10,30 @@ third monotone sequence. Each pair has two bytes: its quantised value's place in
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
+from pyarrow import fs
 
 U = np.uint64
 _MASKS = [U((1 << k) - 1) for k in range(64)]
 
 
 def _mapped(folder: str, name: str, data: np.ndarray) -> np.ndarray:
-    """The array from a file, as a read-only memory map."""
+    """The array from a file below the folder's URI, as a read-only memory map.
+
+    A file system without maps hands out the file's bytes instead.
+    """
     if not len(data):
         return data
-    path = os.path.join(folder, name)
-    data.tofile(path)
-    return np.memmap(path, data.dtype, "r")
+    files, root = fs.FileSystem.from_uri(folder)
+    if isinstance(files, fs.LocalFileSystem):
+        files = fs.LocalFileSystem(use_mmap=True)
+    with files.open_output_stream(f"{root}/{name}", compression=None) as out:
+        out.write(np.ascontiguousarray(data).view(np.uint8).data)
+    with files.open_input_file(f"{root}/{name}") as source:
+        return np.frombuffer(source.read_buffer(), data.dtype)
 
 
 def _select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -150,11 +157,13 @@ class PairTrie:
     """Reversed word pairs with a quantised value each; see the module's text.
 
     pairs: (last, before) hashes in ascending order of both, without repeats; values go with
-    them. The levels lie in a folder of their own, which close() removes.
+    them. The levels lie in a folder of their own below ``folder``, a URI, which close() removes.
     """
 
-    def __init__(self, last: np.ndarray, before: np.ndarray, values: np.ndarray):
-        self.folder = tempfile.mkdtemp(prefix="trie-")
+    def __init__(self, last: np.ndarray, before: np.ndarray, values: np.ndarray, folder: str):
+        self.folder = f"{folder}/trie-{uuid.uuid4().hex}"
+        files, root = fs.FileSystem.from_uri(self.folder)
+        files.create_dir(root, recursive=True)
         words, first = np.unique(last, return_index=True)
         contexts = np.unique(before)
         self.words = EliasFano.build(words, self.folder, "words")
@@ -192,6 +201,5 @@ class PairTrie:
         return np.where(parent >= 0, many.astype(np.int64), 0)
 
     def close(self) -> None:
-        for name in os.listdir(self.folder):
-            os.unlink(os.path.join(self.folder, name))
-        os.rmdir(self.folder)
+        files, root = fs.FileSystem.from_uri(self.folder)
+        files.delete_dir(root)

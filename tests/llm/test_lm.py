@@ -75,14 +75,17 @@ def test_elias_fano(tmp_path, n, top):
     assert (made.find(asked) >= 0).tolist() == np.isin(asked, values).tolist()
 
 
-def test_pair_trie():
+def test_pair_trie(tmp_path):
     rng = np.random.default_rng(8)
     pairs = np.unique(rng.integers(0, 60, (900, 2), dtype=np.uint64) * np.uint64(7_919**4), axis=0)
     values = rng.random(len(pairs))
-    trie = PairTrie(pairs[:, 0], pairs[:, 1], values)
+    trie = PairTrie(pairs[:, 0], pairs[:, 1], values, str(tmp_path))
+    assert len(list(tmp_path.iterdir())) == 1  # its levels lie there
     assert np.allclose(trie.lookup(pairs[:, 0], pairs[:, 1]), values, atol=1e-3)
     assert np.isnan(trie.lookup(pairs[:, 0] + np.uint64(1), pairs[:, 1])).all()
     assert (trie.children_of(pairs[:, 0]) == [(pairs[:, 0] == p).sum() for p in pairs[:, 0]]).all()
     trie.close()
+    assert not list(tmp_path.iterdir())
     none = np.zeros(0, np.uint64)
-    assert np.isnan(PairTrie(none, none, np.zeros(0)).lookup(pairs[:, 0], pairs[:, 1])).all()
+    empty = PairTrie(none, none, np.zeros(0), str(tmp_path))
+    assert np.isnan(empty.lookup(pairs[:, 0], pairs[:, 1])).all()
