@@ -98,9 +98,9 @@ def ranked_fold(
     """One row per parent with the folded text of its first `n` children.
 
     The text is that of `fold_ranked` over `ranked_children`; `first` names columns of the first
-    child that are passed on. Rank, following operation and the list of later texts are windows
-    over one shuffle and one sort of the children, so each child's text is made by generated
-    code, row by row, and no second grouping is needed.
+    child that are passed on. A separator stands before a child with an operation, so every
+    child's text is made by generated code from its own row. The rank and the list of the later
+    texts are windows over one shuffle and one sort of the children; no second grouping follows.
     """
 
     def text(*parts: Column) -> Column:
@@ -110,27 +110,28 @@ def ranked_fold(
     for p in part:
         keyed = keyed.filter(F.col(p).isNotNull())
     ranked = with_rank(keyed, part, order).filter(F.col("conteo") <= n)
-    keys = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_last() for o in order])
-    ranked = ranked.withColumn("siguiente", F.lead(op).over(keys))
-    sign, follows = F.lit(AMOUNT_SIGN), F.col("siguiente").isNotNull()
-    head_amount = _amount(F.when(follows, F.col(value)).otherwise(nvl(F.col(value), 0)), style)
-    ends = text(sign, head_amount, F.lit(FIRST_SEPARATOR))
-    amount = text(sign, _amount(nvl(F.col(value), 0), style))
-    leads = F.col("conteo") == 1
-    piece = F.when(
-        leads, text(F.col(op), F.when(follows, ends).otherwise(without(ends, SEPARATOR)))
-    ).otherwise(
-        text(
-            nvl(F.col(op), ""),
-            without(amount, ZERO_AMOUNT[style]),
-            F.when(follows, F.lit(SEPARATOR)).otherwise(F.lit("")),
-        )
+    place, sign = F.col("conteo"), F.lit(AMOUNT_SIGN)
+    separator = F.when((place > 2) & F.col(op).isNotNull(), SEPARATOR).otherwise("")
+    amount = without(text(sign, _amount(nvl(F.col(value), 0), style)), ZERO_AMOUNT[style])
+    later = F.when(place > 1, text(separator, nvl(F.col(op), ""), amount))
+    ranked = ranked.select(*dict.fromkeys([*part, *order, op, value, *first]), "conteo", later.alias("trozo"))
+    whole = (
+        Window.partitionBy(*part)
+        .orderBy(*[F.col(o).asc_nulls_last() for o in order])
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    made = ranked.withColumns(
+        {
+            "resto": F.collect_list("trozo").over(whole),
+            "sigue": F.max((place == 2) & F.col(op).isNotNull()).over(whole),
+        }
+    ).filter(place == 1)
+    alone = text(sign, _amount(nvl(F.col(value), 0), style), F.lit(FIRST_SEPARATOR))
+    followed = text(sign, _amount(F.col(value), style), F.lit(FIRST_SEPARATOR))
+    head = text(
+        F.col(op), F.when(F.col("sigue"), followed).otherwise(without(alone, SEPARATOR))
     )
-    made = ranked.select(*dict.fromkeys([*part, *order, *first]), "conteo", piece.alias("trozo"))
-    whole = keys.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    later = F.collect_list(F.when(~leads, F.col("trozo"))).over(whole)
-    made = made.withColumn("resto", later).filter(leads)
-    return made.select(*part, *first, text(F.col("trozo"), F.array_join("resto", "")).alias(out))
+    return made.select(*part, *first, text(head, F.array_join("resto", "")).alias(out))
 
 
 def fold_fixed(

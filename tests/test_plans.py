@@ -103,8 +103,10 @@ def test_reports_stay_out_of_python(spark, holidays):
             text = plan(report(t, cal, profile), "simple")
             assert "Python" not in text and "ArrowEval" not in text
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # The children's rank and their text: two windows over one shuffle of them.
     text = plan(transfer_detail(t, cal, "v2"), "simple")
-    assert len(re.findall(r" Window \[", text)) == 1
+    assert len(re.findall(r" Window \[", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(DatosFactura", text)) == 1
 
 
 BUCKETED = {
