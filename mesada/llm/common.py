@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -43,13 +42,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage by a table in the shared folder, which is read column by column."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores before it as set it apart from df's columns."""
     taken = {c.lower() for c in df.columns}
