@@ -8,13 +8,16 @@ from pyspark.sql import DataFrameReader
 from report_fixture import relations, rows
 
 from mesada import disbursement_detail, disbursement_totals, report_calendar, transfer_detail, transfer_totals
+from mesada.sources import pushdown
 from mesada.sources.pushdown import (
     FACTS,
+    FILTER_RANGES,
     NOTHING,
     Restricted,
     fact_predicates,
     gate_predicate,
     key_ranges,
+    merged_ranges,
     only_keys,
     pushed_relations,
     quantile_points,
@@ -154,6 +157,36 @@ def test_ranges_reach_a_file_scan(spark, base, holidays):
     assert "GreaterThanOrEqual(idOperaciones" in text and "LessThanOrEqual(idOperaciones" in text
 
 
+def test_merged_ranges_leave_the_widest_gaps_open():
+    ranges = [(1, 2, 5), (4, 4, 1), (100, 120, 7), (130, 131, 2), (900, 900, 1)]
+    assert merged_ranges(ranges[::-1], 3) == [(1, 4, 6), (100, 131, 9), (900, 900, 1)]
+    assert merged_ranges(ranges, 1) == [(1, 900, 16)]
+    assert merged_ranges(ranges, 5) == merged_ranges(ranges, 64) == ranges
+    assert merged_ranges([]) == []
+
+
+def test_a_file_filter_stays_short(spark, base, holidays, monkeypatch):
+    """A filter of 64 ranges is too long a method for Java to compile."""
+    source = {"snapshot": FileSource(str(base))}
+    cal = report_calendar(spark, [AS_OF], holidays)
+    many = [(10 * k, 10 * k + 1, 1) for k in range(40)]
+    monkeypatch.setattr(pushdown, "key_ranges", lambda keys, columns, most=64: {c: many for c in columns})
+    cut = pushed_relations(spark, source, cal, "v1")
+    frames = [cut[n] for n in ("operaciones", "desembolso", "originacion_solicitudes", "cliente")]
+    frames.append(only_keys(spark.range(1000), "id", spark.range(3).toDF("k")))
+    for df in frames:
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert 0 < max(line.count(" >= ") for line in lines) <= FILTER_RANGES
+    # A database still gets all ranges, one a task.
+    asked = []
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, predicates=None, **rest:
+        (asked.append((table, predicates)), FileSource(str(base)).read(spark, table[2:]))[1])
+    remote = JdbcSource("jdbc:x", "s", points={FACTS: ("solicitud", (10,))})
+    pushed_relations(spark, {"snapshot": remote}, cal, "v1")["operaciones"]
+    table, predicates = asked[-1]
+    assert table == "s.operaciones" and len(predicates) == 40
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """The same sendings by month, in order of the request and as they come."""
