@@ -29,6 +29,8 @@ SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
 REMEMBERED = 500_000
 TEXTS_AT_ONCE = 64
+#: Bytes of text encoded in one run: ids, spans and decoded texts take several times as many.
+ENCODED_AT_ONCE = 1 << 20
 _RUNS = re.compile(" *[^ ]+| +$")
 
 
@@ -295,8 +297,8 @@ def _encoder(shipped):
         for text, got in zip(listed, model.encode_all(listed), strict=True):
             start, end = model.spans(text, got)
             ids.append(got)
-            starts.append(start)
-            ends.append(end)
+            starts.append(start.astype(np.int32))
+            ends.append(end.astype(np.int32))
             decoded.append(model.decode(got))
         ints = pa.list_(pa.int32())
         return [*(pa.array(c, ints) for c in (ids, starts, ends)), pa.array(decoded, pa.string())]
@@ -315,7 +317,8 @@ def encoded(
     names = fresh(docs, "token_ids", "token_starts", "token_ends", "decoded")
     kinds = ["array<int>"] * 3 + ["string"]
     fields = ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))
-    out = map_text(docs, text_col, _encoder(_shipped(docs, model_path)), fields)
+    work = _encoder(_shipped(docs, model_path))
+    out = map_text(docs, text_col, work, fields, at_once=ENCODED_AT_ONCE)
     return out if spans else out.drop(*names[1:])
 
 

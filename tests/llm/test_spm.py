@@ -1,12 +1,15 @@
 import hashlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from mesada.llm import spm
 from mesada.llm.spm import CharacterMap, Model, encoded, encoding_digests
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -131,3 +134,21 @@ def test_query_and_stage(docs, rows, clashing, empty, library):
     for r in out.collect():
         assert r["_token_ids"] == library.encode(r["text"] or "")
     assert encoded(empty, PATH).count() == encoding_digests(empty, PATH).count() == 0
+
+
+def test_batches_of_long_texts_leave_in_small_runs(spark, monkeypatch):
+    """What a text becomes is several times as large; a batch is not held so as a whole."""
+    with open(PATH, "rb") as f:
+        shipped = SimpleNamespace(value=f.read())
+    runs = []
+    monkeypatch.setattr(spm, "_shipped", lambda docs, path: shipped)
+    docs = spark.range(0).selectExpr("id doc_id", "'' text")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    encoded(docs, PATH)
+    texts = [f"{k} some words of a text. " * 4_000 for k in range(40)]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    out = list(runs[0](iter([whole])))
+    table = pa.Table.from_batches(out)
+    assert table["doc_id"].to_pylist() == list(range(40))
+    assert table["text"].to_pylist() == table["decoded"].to_pylist() == texts
+    assert max(sum(len(t) for t in b.column(1).to_pylist()) for b in out) <= 1 << 20
